@@ -1,0 +1 @@
+"""Batch jobs chained from operators, and the query registry."""
