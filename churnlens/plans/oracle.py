@@ -114,7 +114,7 @@ clicks AS (SELECT {by}, page, AVG(avg_cnt) AS avg_mhly_cnt FROM monthly {where}G
 
 CLICKS = clicks()
 
-PIVOT = "pivot AS (SELECT userId, " + ", ".join(
+PIVOT = "pv AS (SELECT userId, " + ", ".join(
     f"COALESCE(SUM(CASE WHEN page = {q(p)} THEN avg_mhly_cnt END), 0) AS {c}"
     for p, c in zip(FEATURE_PAGES, PAGE_COLS)) + " FROM clicks GROUP BY userId)"
 
@@ -142,8 +142,8 @@ nsys AS (SELECT COUNT(*) AS k FROM freq),
 feats AS (
   SELECT sc.userId, sc.churn, sc.avg_sess_p_day, sc.avg_length, sc.avg_items_p_sess, sc.acc_age,
          sl.avg_sess_len, sc.bin_gender, sc.pref_user_system, idx.pref_user_system_ind,
-         {', '.join('pivot.' + c for c in PAGE_COLS)}
-  FROM sc JOIN sl USING (userId) JOIN pivot USING (userId) JOIN idx USING (pref_user_system))"""
+         {', '.join('pv.' + c for c in PAGE_COLS)}
+  FROM sc JOIN sl USING (userId) JOIN pv USING (userId) JOIN idx USING (pref_user_system))"""
 
 SPLIT = "CASE WHEN substr(md5(userId), 1, 4) < '199a' THEN 'validation' ELSE 'train' END"
 
@@ -300,7 +300,7 @@ ORACLE: dict[str, str] = {
         + "SELECT lab.userId, lab.churn, al.avg_length, aa.acc_age FROM lab JOIN al ON al.userId = lab.userId JOIN aa ON aa.userId = lab.userId",
         ["avg_length"]),
     "page_clicks_monthly": rounded(w(CLICKS) + "SELECT * FROM clicks", ["avg_mhly_cnt"]),
-    "page_pivot": rounded(w(CLICKS, PIVOT) + "SELECT * FROM pivot", PAGE_COLS),
+    "page_pivot": rounded(w(CLICKS, PIVOT) + "SELECT * FROM pv", PAGE_COLS),
     "user_features": rounded(w(FEATS) + "SELECT * FROM feats",
                              ["avg_sess_p_day", "avg_length", "avg_items_p_sess", "avg_sess_len", *PAGE_COLS]),
     "cancelled_users": w() + CANCELLED_IDS,
