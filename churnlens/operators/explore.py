@@ -74,8 +74,14 @@ def loyal_users(cleaned: DataFrame) -> DataFrame:
             .filter(F.col("m") == 0).select("userId"))
 
 
-LOYAL = F.col("churn") == 0
-CANCELLED = F.col("churn") > 0
+def loyal() -> Column:
+    """Rows of users who never cancelled."""
+    return F.col("churn") == 0
+
+
+def cancelled() -> Column:
+    """Rows of users who cancelled at least once."""
+    return F.col("churn") > 0
 
 
 def gender_by_churn(cleaned: DataFrame) -> DataFrame:
@@ -102,7 +108,7 @@ def with_time_parts(cleaned: DataFrame) -> DataFrame:
 def bucket_share(cleaned: DataFrame, bucket: str, group: Column | DataFrame | None = None) -> DataFrame:
     """Share of a group's events per time bucket (``hour`` or ``weekday``), largest first.
 
-    ``group`` is a row predicate (e.g. ``LOYAL``) or a user-id frame. The
+    ``group`` is a row predicate (e.g. ``loyal()``) or a user-id frame. The
     denominator (all of the group's events) comes out of the same aggregate,
     so the log is read once; the window runs over at most one row per bucket.
     """

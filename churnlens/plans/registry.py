@@ -156,7 +156,7 @@ def q_loyal_events(spark, sf):
 
 
 def q_share(bucket, group):
-    return lambda spark, sf: rounded(X.bucket_share(cleaned(spark, sf), bucket, group))
+    return lambda spark, sf: rounded(X.bucket_share(cleaned(spark, sf), bucket, group()))
 
 
 def q_explore(fn):
@@ -324,10 +324,10 @@ QUERIES: dict[str, Query] = {
     "gender_by_churn": q_explore(X.gender_by_churn),
     "system_by_churn": q_system_by_churn,
     "system_share": q_explore(X.system_share),
-    "hour_share_loyal": q_share("hour", X.LOYAL),
-    "hour_share_cancelled": q_share("hour", X.CANCELLED),
-    "weekday_share_loyal": q_share("weekday", X.LOYAL),
-    "weekday_share_cancelled": q_share("weekday", X.CANCELLED),
+    "hour_share_loyal": q_share("hour", X.loyal),
+    "hour_share_cancelled": q_share("hour", X.cancelled),
+    "weekday_share_loyal": q_share("weekday", X.loyal),
+    "weekday_share_cancelled": q_share("weekday", X.cancelled),
     "cancel_level": q_explore(X.cancel_level),
     "lifetime_stats": q_explore(X.lifetime_stats),
     "session_durations": q_explore(X.session_durations),
