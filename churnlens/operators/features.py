@@ -12,7 +12,7 @@ one aggregate and one join per feature it runs
 3. month and user roll-ups plus the page pivot for the click features;
 4. one join of the two per-user tables (co-partitioned on ``userId``).
 
-The (user, session, page) table is checkpointed to the shared folder because
+The (user, session, page) table is written to the shared folder because
 both branches read it.
 """
 
@@ -191,5 +191,5 @@ def user_features(cleaned: DataFrame, *, materialize_base: bool = True) -> DataF
     """
     base = base_aggregate(cleaned)
     if materialize_base:
-        base = materialize(base)
+        base = materialize(base, "session-page-base")
     return scalar_features(base).join(click_features(base), "userId", "inner")

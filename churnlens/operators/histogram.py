@@ -24,7 +24,7 @@ def histogram(df: DataFrame, value: str, group: tuple[str, ...] | list[str] = ("
            .filter(F.col("__x").isNotNull() & ~F.isnan("__x")))
     if isinstance(bins, int):
         n = bins
-        x = materialize(x)  # read twice below: range per group, then the bins
+        x = materialize(x, "histogram-values")  # read twice: range per group, then bins
         rng = x.groupBy(*group).agg(F.min("__x").alias("__a"), F.max("__x").alias("__b"))
         rng = rng.select(
             *group,

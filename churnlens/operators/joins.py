@@ -3,8 +3,8 @@
 ``join_small(big, small, key, how)`` is the one way the library attaches a
 per-user (or per-class) table to a larger frame:
 
-1. ``small`` is checkpointed into the shared folder (reliable: a lost executor
-   does not lose it, and the size check does not recompute its lineage);
+1. ``small`` is written as a table in the shared folder (reliable: a lost
+   executor does not lose it, and the size check does not recompute it);
 2. if it holds at most ``max_rows`` rows it is broadcast — no shuffle of the
    large side at all;
 3. otherwise both sides are shuffled on ``key``, and the keys that hold more
@@ -19,22 +19,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.session import max_broadcast_rows, shared_dir
+from churnlens.session import max_broadcast_rows, scratch_path
 
 _SALT = "__salt"
 _HOT = "__hot"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared folder and read it back.
 
-    Cuts the lineage (later actions do not recompute it) and survives the loss
-    of the executors that computed it. Keeps the output partitioning, so a
-    checkpointed ``groupBy('userId')`` result still joins on ``userId``
-    without another shuffle.
+    Cuts the lineage (later actions read the written rows instead of
+    recomputing them) and survives the loss of the executors that computed
+    them. Unlike ``Dataset.checkpoint`` — whose eager count and checkpoint
+    write each run the full lineage — the input is computed exactly once, and
+    the read-back carries file-size statistics for the optimizer.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -49,7 +52,7 @@ def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str =
     spark = big.sparkSession
     limit = max_rows if max_rows is not None else max_broadcast_rows(spark)
     if not already_materialized:
-        small = materialize(small)
+        small = materialize(small, "small-side")
     if fits(small, limit):
         return big.join(F.broadcast(small), on, how)
     return salted_join(big, small, on, how, salts=salts)
@@ -62,7 +65,7 @@ def hot_keys(big: DataFrame, on: list[str]) -> DataFrame:
     result has a proven size bound and is safe to broadcast.
     """
     n_parts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = materialize(big.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")))
+    counts = materialize(big.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")), "key-counts")
     total = counts.agg(F.sum("__n")).first()[0] or 0
     share = max(1, total // max(1, n_parts))
     return counts.filter(F.col("__n") > share).select(*on, F.lit(True).alias(_HOT))

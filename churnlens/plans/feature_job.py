@@ -18,7 +18,7 @@ def feature_table(cleaned: DataFrame) -> DataFrame:
     Materialised once: the encoder fit, the split, the weights and both
     writes read the checkpoint instead of re-aggregating the log.
     """
-    features = materialize(user_features(cleaned))
+    features = materialize(user_features(cleaned), "user-features")
     encoded, _ = encode_systems(features)
     return encoded
 

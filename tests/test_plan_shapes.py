@@ -22,7 +22,9 @@ def test_features_read_log_once_and_use_no_python(spark):
     plan = _plan(f)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     materialized = _plan(user_features(c))
-    assert "Scan parquet" not in materialized  # both branches read the checkpoint
+    # both branches read the written (user, session, page) table, not the log
+    assert "events.parquet" not in materialized
+    assert materialized.count("FileScan parquet") == 2
 
 
 def test_page_filter_and_columns_pushed_to_parquet_scan(spark):
