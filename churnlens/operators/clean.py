@@ -79,6 +79,16 @@ def with_churn_phase(df: DataFrame, bucket_ms: int = 3_600_000) -> DataFrame:
              .drop("__b", "__f", "__prior"))
 
 
-def clean(raw: DataFrame, *, max_rows: int | None = None) -> DataFrame:
-    """Raw log -> cleaned log: system name, no anonymous rows, ten columns, churn."""
-    return with_churn(keep_columns(drop_anonymous(with_user_system(raw))), max_rows=max_rows)
+def clean(raw: DataFrame, *, max_rows: int | None = None, stage: bool = False) -> DataFrame:
+    """Raw log -> cleaned log: system name, no anonymous rows, ten columns, churn.
+
+    The label needs two reads of the kept rows (the cancelling users, then
+    every row). On columnar input the first read is a pushed-down scan of two
+    columns. ``stage=True`` (for text input such as JSON) writes the kept rows
+    once as parquet to the shared folder so the raw text is parsed only once.
+    """
+    kept = keep_columns(drop_anonymous(with_user_system(raw)))
+    if stage:
+        from churnlens.operators.joins import materialize
+        kept = materialize(kept, "kept-log")
+    return with_churn(kept, max_rows=max_rows)

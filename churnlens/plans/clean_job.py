@@ -10,5 +10,11 @@ from churnlens.sources import read_event_log, write_parquet
 
 def run_clean(spark: SparkSession, input_path: str, output_path: str, *,
               fmt: str = "json", mode: str = "errorifexists") -> str:
-    """Read, clean and write the log; the only full pass over the raw input."""
-    return write_parquet(clean(read_event_log(spark, input_path, fmt)), output_path, mode)
+    """Read, clean and write the log.
+
+    Text input (JSON) is parsed once: the kept columns are staged as parquet
+    before the label's two reads.
+    """
+    raw = read_event_log(spark, input_path, fmt)
+    staged = fmt not in ("parquet", "orc")
+    return write_parquet(clean(raw, stage=staged), output_path, mode)

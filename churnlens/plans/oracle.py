@@ -293,6 +293,14 @@ ORACLE: dict[str, str] = {
                             + "SELECT userId, AVG(len) AS avg_sess_len FROM s GROUP BY userId", ["avg_sess_len"]),
     "bin_gender": _per_user("MAX(CASE WHEN gender = 'F' THEN 1 ELSE 0 END)", "bin_gender"),
     "pref_user_system": _per_user("MAX(userSystem)", "pref_user_system"),
+    "sql_features": rounded(w() + f"""SELECT userId,
+        COUNT(DISTINCT sessionId) / ({days('MAX(ts) - MIN(ts)')} + 1) AS avg_sess_p_day,
+        {days('MAX(ts) - MIN(ts)')} AS acc_age,
+        {month('AVG(ts)')} AS mean_month,
+        {hour('MIN(ts)')} AS first_hour,
+        {weekday('MAX(ts)')} AS last_weekday,
+        MAX({minutes('ts - 1704067200000')}) AS max_minute_of_day
+        FROM cleaned GROUP BY userId""", ["avg_sess_p_day"]),
     "attach_features": rounded(w(
         "lab AS (SELECT userId, MAX(churn) AS churn FROM cleaned GROUP BY userId)",
         "al AS (SELECT userId, AVG(length) AS avg_length FROM cleaned GROUP BY userId)",

@@ -130,6 +130,22 @@ def q_feature(fn):
     return lambda spark, sf: rounded(fn(cleaned(spark, sf)))
 
 
+def q_sql_features(spark, sf):
+    """Per-user features written as SQL text over the cleaned log, using the SQL helpers."""
+    from churnlens.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    return rounded(spark.sql(
+        """SELECT userId,
+                  COUNT(DISTINCT sessionId) / (to_days(MAX(ts) - MIN(ts)) + 1) AS avg_sess_p_day,
+                  to_days(MAX(ts) - MIN(ts)) AS acc_age,
+                  to_month(AVG(ts)) AS mean_month,
+                  to_hour(MIN(ts)) AS first_hour,
+                  to_day(MAX(ts)) AS last_weekday,
+                  MAX(to_minutes(ts - 1704067200000)) AS max_minute_of_day
+           FROM {log} GROUP BY userId""", log=cleaned(spark, sf)))
+
+
 def q_attach_features(spark, sf):
     c = cleaned(spark, sf)
     out = attach_features(FE.user_label(c), FE.avg_length(c), ["avg_length"])
@@ -314,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "bin_gender": q_feature(FE.bin_gender),
     "pref_user_system": q_feature(FE.pref_user_system),
     "attach_features": q_attach_features,
+    "sql_features": q_sql_features,
     "page_clicks_monthly": q_page_clicks_monthly,
     "page_pivot": q_page_pivot,
     "user_features": q_user_features,

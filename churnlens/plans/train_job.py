@@ -10,10 +10,16 @@ from churnlens.sources import read_parquet, save_model
 
 
 def run_training(spark: SparkSession, algo: str, train_path: str, model_path: str, *,
-                 cross_validate: str | bool = "auto") -> PipelineModel:
-    """Train one algorithm ('svm', 'nb', 'lr', 'rf') and save the best model."""
+                 cross_validate: str | bool = "auto") -> PipelineModel | dict[str, PipelineModel]:
+    """Train one algorithm ('svm', 'nb', 'lr', 'rf') and save the best model.
+
+    ``algo='all'`` trains the four in turn, saved below ``model_path/<algo>``.
+    """
+    if algo == "all":
+        return {a: run_training(spark, a, train_path, f"{model_path.rstrip('/')}/{a}",
+                                cross_validate=cross_validate) for a in ALGORITHMS}
     if algo not in ALGORITHMS:
-        raise ValueError(f"Unknown ML algorithm {algo!r}; expected one of {ALGORITHMS}")
+        raise ValueError(f"Unknown ML algorithm {algo!r}; expected one of {ALGORITHMS} or 'all'")
     model = train(read_parquet(spark, train_path), algo, cross_validate=cross_validate)
     save_model(model, model_path)
     return model

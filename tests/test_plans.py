@@ -30,3 +30,32 @@ def test_parquet_sink_refuses_existing_path(spark):
     write_parquet(spark.range(3), path)
     with pytest.raises(Exception):
         write_parquet(spark.range(3), path)
+
+
+def test_training_dispatcher_all_and_unknown(spark):
+    import pytest
+    from churnlens.plans.feature_job import weighted_split
+    from churnlens.plans.registry import features
+    from churnlens.plans.train_job import run_training
+    from churnlens.sources import write_parquet
+
+    root = scratch_path(spark, "dispatch")
+    train_df, _ = weighted_split(features(spark, "/root/testdata/sf0.001"))
+    write_parquet(train_df, f"{root}/train")
+    models = run_training(spark, "all", f"{root}/train", f"{root}/models")
+    assert sorted(models) == ["lr", "nb", "rf", "svm"]
+    with pytest.raises(ValueError):
+        run_training(spark, "xgb", f"{root}/train", f"{root}/m")
+
+
+def test_sql_functions_match_column_functions(spark):
+    from churnlens.functions import to_day, to_days, to_hour, to_minutes, to_month
+    from churnlens.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    df = spark.createDataFrame([(v,) for v in (0, 1, 90_000_000, 1706745599999, 1717000000123)], "ms long")
+    a = df.selectExpr("to_days(ms)", "to_minutes(ms)", "to_hour(ms)", "to_month(ms)", "to_day(ms)").collect()
+    b = df.select(to_days("ms"), to_minutes("ms"), to_hour("ms"), to_month("ms"), to_day("ms")).collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]
+    plan = df.selectExpr("to_days(ms)")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
