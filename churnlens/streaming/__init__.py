@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The event log is processed in batch: clean, then features, then training and
+evaluation, each a Spark batch job. The workload has no stream source,
+watermark, window or state, so no Structured Streaming operator is provided.
+"""
