@@ -157,7 +157,7 @@ def _long_features() -> str:
     n = len(SCALARS)
     parts.append(f"SELECT userId, {n} + CAST(pref_user_system_ind AS INTEGER) AS idx, 1.0 AS value "
                  f"FROM ok, nsys WHERE pref_user_system_ind < nsys.k - 1")
-    parts += [f"SELECT userId, {n} + nsys.k - 1 + {j} AS idx, CAST({c} AS DOUBLE) AS value FROM ok, nsys"
+    parts += [f"SELECT userId, CAST({n} + nsys.k - 1 + {j} AS INTEGER) AS idx, CAST({c} AS DOUBLE) AS value FROM ok, nsys"
               for j, c in enumerate(PAGE_COLS)]
     ok = "ok AS (SELECT * FROM feats WHERE " + " AND ".join(
         f"{c} IS NOT NULL" for c in SCALARS + PAGE_COLS) + ")"

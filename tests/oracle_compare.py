@@ -27,16 +27,23 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if v is None:
         return (0, "")
     if isinstance(v, float):
         if math.isnan(v):
             return (0, "")
-        return (1, repr(round(v, 9)))
+        return (1, repr(v if EXACT else round(v, 9)))
     return (1, repr(v))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
+                 "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def rows_of(records, cols):
     return sorted(tuple(_norm(r[c]) for c in cols) for r in records)
 
@@ -59,6 +66,9 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, str]:
             rel = con.sql(sqls[name])
             dcols = sorted(rel.columns)
             drows = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
+            stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                      for f in sdf.schema.fields}
+            dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
         except Exception as e:  # noqa: BLE001
             out[name] = f"ERROR {type(e).__name__}: {str(e)[:300]}"
             if verbose:
@@ -66,6 +76,8 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, str]:
             continue
         if scols != dcols:
             res = f"COLUMNS spark={scols} duck={dcols}"
+        elif stypes != dtypes:
+            res = f"TYPES spark={stypes} duck={dtypes}"
         elif len(srows) != len(drows):
             res = f"ROWS spark={len(srows)} duck={len(drows)}"
         else:
