@@ -24,6 +24,11 @@ BY_CHURN_USER = ("churn", "userId")
 
 # --- Profiles --------------------------------------------------------------------
 
+def first_rows(df: DataFrame, n: int = 10) -> DataFrame:
+    """Any ``n`` rows, for a look at the data (no order implied)."""
+    return df.limit(n)
+
+
 def unique_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of one column."""
     return df.select(column).distinct()

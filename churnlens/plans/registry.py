@@ -110,6 +110,11 @@ def q_unique(column):
     return lambda spark, sf: X.unique_values(raw(spark, sf), column)
 
 
+def q_first_events(spark, sf):
+    """A look at ten raw events (take(10)); unordered, so rows-only."""
+    return X.first_rows(raw(spark, sf), 10)
+
+
 def q_null_profile(spark, sf):
     return X.null_profile(raw(spark, sf))
 
@@ -318,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "unique_levels": q_unique("level"),
     "unique_auth": q_unique("auth"),
     "unique_genders": q_unique("gender"),
+    "first_events": q_first_events,
     "null_profile": q_null_profile,
     "describe_events": q_describe_events,
     # per-user features
@@ -380,5 +386,5 @@ QUERIES: dict[str, Query] = {
 
 #: Queries without a SQL oracle (model fits, random parts): rows-only checks.
 ROWS_ONLY = {"churn_svm", "churn_nb", "churn_lr", "churn_rf", "model_roundtrip",
-             "model_comparison"}
+             "model_comparison", "first_events"}
 

@@ -74,14 +74,18 @@ def shared_dir(spark: SparkSession) -> str:
 
     Set only when the session has none (local runs and tests).
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # client-only session: no context object, use the setting
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
             d = tempfile.mkdtemp(prefix="churnlens-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
     return d.rstrip("/")
 
 

@@ -82,3 +82,11 @@ def test_one_row_per_user(spark):
     f = features(spark, "/root/testdata/sf0.01")
     assert f.count() == f.select("userId").distinct().count() == 141
     assert all(c in f.columns for c in FEATURE_COLS)
+
+
+def test_ml_label_is_binary_while_raw_label_counts(spark):
+    c = clean(rows(spark, [ev(user="1", page="Cancellation Confirmation", ts=1),
+                           ev(user="1", page="Cancellation Confirmation", ts=2), ev(user="2", ts=3)]))
+    raw_label = {r.userId: r.churn for r in FE.user_label(c).collect()}
+    ml = {r.userId: r.churn for r in FE.user_features(c).collect()}
+    assert raw_label == {"1": 2, "2": 0} and ml == {"1": 1, "2": 0}
