@@ -5,8 +5,8 @@ per-user (or per-class) table to a larger frame:
 
 1. ``small`` is written as a table in the shared folder (reliable: a lost
    executor does not lose it, and the size check does not recompute it);
-2. if it holds at most ``max_rows`` rows it is broadcast — no shuffle of the
-   large side at all;
+2. if it holds at most ``max_rows`` rows (a footer-only count of the written
+   table) it is broadcast — no shuffle of the large side at all;
 3. otherwise both sides are shuffled on ``key``, and the keys that hold more
    than a fair share of the large side ("hot" keys, provably at most one per
    shuffle partition) are salted: their large-side rows are spread over
@@ -41,8 +41,13 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting early)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Called on tables written by ``materialize``: counting parquet reads only
+    the row-group footers. (A ``limit(n + 1).count()`` would gather up to
+    n + 1 rows from every task into a single partition.)
+    """
+    return df.count() <= max_rows
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner", *,

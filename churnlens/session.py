@@ -37,7 +37,7 @@ CLUSTER_CONF = {
 
 #: Upper bound of rows for a side that may be broadcast (see operators.joins).
 MAX_BROADCAST_ROWS_KEY = "spark.churnlens.maxBroadcastRows"
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000  # ~60 MB of (userId, count) pairs
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
