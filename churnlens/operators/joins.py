@@ -8,10 +8,11 @@ per-user (or per-class) table to a larger frame:
 2. if it holds at most ``max_rows`` rows (a footer-only count of the written
    table) it is broadcast — no shuffle of the large side at all;
 3. otherwise both sides are shuffled on ``key``, and the keys that hold more
-   than a fair share of the large side ("hot" keys, provably at most one per
-   shuffle partition) are salted: their large-side rows are spread over
-   ``salts`` sub-keys and only their small-side rows are replicated. AQE's
-   skew-join split stays on as a second line of defence.
+   than a fair share of the large side ("hot" keys) are salted: each one's
+   large-side rows are spread over ``ceil(rows / share)`` sub-keys and only its
+   small-side row is replicated that often (at most 2 x shuffle partitions
+   extra rows in total). AQE's skew-join split stays on as a second line of
+   defence.
 """
 
 from __future__ import annotations
@@ -51,8 +52,7 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner", *,
-               max_rows: int | None = None, salts: int = 32,
-               already_materialized: bool = False) -> DataFrame:
+               max_rows: int | None = None, already_materialized: bool = False) -> DataFrame:
     """Join ``big`` with ``small`` (at most one row per key of ``on``)."""
     spark = big.sparkSession
     limit = max_rows if max_rows is not None else max_broadcast_rows(spark)
@@ -60,25 +60,28 @@ def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str =
         small = materialize(small, "small-side")
     if fits(small, limit):
         return big.join(F.broadcast(small), on, how)
-    return salted_join(big, small, on, how, salts=salts)
+    return salted_join(big, small, on, how)
 
 
 def hot_keys(big: DataFrame, on: list[str]) -> DataFrame:
-    """Keys holding more rows than one shuffle partition's fair share.
+    """Keys holding more rows than one shuffle partition's fair share, with their salt count.
 
-    At most ``spark.sql.shuffle.partitions`` keys can pass the test, so the
-    result has a proven size bound and is safe to broadcast.
+    ``share = rows / spark.sql.shuffle.partitions``; a key with ``n > share``
+    rows gets ``ceil(n / share)`` salts, so each salted piece holds about one
+    fair share. Fewer than ``partitions`` keys can be hot and their salts sum
+    to at most ``2 * partitions``: the table has a proven size bound and is
+    safe to broadcast, and the small side grows by at most that many rows.
     """
     n_parts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = materialize(big.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")), "key-counts")
     total = counts.agg(F.sum("__n")).first()[0] or 0
     share = max(1, total // max(1, n_parts))
-    return counts.filter(F.col("__n") > share).select(*on, F.lit(True).alias(_HOT))
+    return (counts.filter(F.col("__n") > share)
+            .select(*on, F.ceil(F.col("__n") / F.lit(share)).cast("int").alias(_HOT)))
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner",
-                *, salts: int = 32) -> DataFrame:
-    """Shuffle join on ``on`` with hot keys spread over ``salts`` sub-keys.
+def salted_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Shuffle join on ``on`` with each hot key spread over its own number of salts.
 
     ``how`` is one of inner / left / left_semi / left_anti; ``big`` is the left
     side. Exact: every large-side row meets exactly the one replica of its
@@ -88,11 +91,13 @@ def salted_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str
     hot = F.broadcast(hot_keys(big, keys))
     big_cols = big.columns
     b = (big.join(hot, keys, "left")
-         .withColumn(_SALT, F.when(F.col(_HOT), F.pmod(F.xxhash64(*big_cols), F.lit(salts)))
+         .withColumn(_SALT, F.when(F.col(_HOT).isNotNull(),
+                                   F.pmod(F.xxhash64(*big_cols), F.col(_HOT).cast("long")))
                      .otherwise(F.lit(0)).cast("int"))
          .drop(_HOT))
     s = (small.join(hot, keys, "left")
-         .withColumn(_SALT, F.explode(F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salts - 1)))
+         .withColumn(_SALT, F.explode(F.when(F.col(_HOT).isNotNull(),
+                                             F.sequence(F.lit(0), F.col(_HOT) - 1))
                                       .otherwise(F.array(F.lit(0)))))
          .drop(_HOT))
     return b.join(s, keys + [_SALT], how).drop(_SALT)

@@ -10,9 +10,10 @@ def _big(spark):
         F.col("id").alias("v"))
 
 
-def test_hot_keys_found(spark):
-    hot = [r.k for r in hot_keys(_big(spark), ["k"]).collect()]
-    assert hot == [0]
+def test_hot_keys_found_with_proportional_salts(spark):
+    hot = [(r.k, r["__hot"]) for r in hot_keys(_big(spark), ["k"]).collect()]
+    # key 0 holds 10000 even ids + 103 odd multiples of 97; fair share = 20000 / 8 = 2500
+    assert hot == [(0, 5)]
 
 
 def test_salted_join_equals_plain_join(spark):
@@ -20,7 +21,7 @@ def test_salted_join_equals_plain_join(spark):
     small = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("x"))
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = sorted(tuple(r) for r in big.join(small, "k", how).collect())
-        salted = sorted(tuple(r) for r in salted_join(big, small, "k", how, salts=8).collect())
+        salted = sorted(tuple(r) for r in salted_join(big, small, "k", how).collect())
         assert plain == salted, how
 
 
