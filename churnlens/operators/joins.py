@@ -9,9 +9,9 @@ per-user (or per-class) table to a larger frame:
    table) it is broadcast — no shuffle of the large side at all;
 3. otherwise both sides are shuffled on ``key``, and the keys that hold more
    than a fair share of the large side ("hot" keys) are salted: each one's
-   large-side rows are spread over ``ceil(rows / share)`` sub-keys and only its
-   small-side row is replicated that often (at most 2 x shuffle partitions
-   extra rows in total). AQE's skew-join split stays on as a second line of
+   large-side rows are spread over ``ceil(2 rows / share)`` sub-keys and only
+   its small-side row is replicated that often (at most 3 x shuffle
+   partitions extra rows in total). AQE's skew-join split stays on as a second line of
    defence.
 """
 
@@ -67,9 +67,10 @@ def hot_keys(big: DataFrame, on: list[str]) -> DataFrame:
     """Keys holding more rows than one shuffle partition's fair share, with their salt count.
 
     ``share = rows / spark.sql.shuffle.partitions``; a key with ``n > share``
-    rows gets ``ceil(n / share)`` salts, so each salted piece holds about one
-    fair share. Fewer than ``partitions`` keys can be hot and their salts sum
-    to at most ``2 * partitions``: the table has a proven size bound and is
+    rows gets ``ceil(2n / share)`` salts, so each salted piece holds at most
+    half a fair share and lands next to ordinary keys without overloading its
+    partition. Fewer than ``partitions`` keys can be hot and their salts sum
+    to at most ``3 * partitions``: the table has a proven size bound and is
     safe to broadcast, and the small side grows by at most that many rows.
     """
     n_parts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -77,7 +78,7 @@ def hot_keys(big: DataFrame, on: list[str]) -> DataFrame:
     total = counts.agg(F.sum("__n")).first()[0] or 0
     share = max(1, total // max(1, n_parts))
     return (counts.filter(F.col("__n") > share)
-            .select(*on, F.ceil(F.col("__n") / F.lit(share)).cast("int").alias(_HOT)))
+            .select(*on, F.ceil(F.col("__n") * 2 / F.lit(share)).cast("int").alias(_HOT)))
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
