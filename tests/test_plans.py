@@ -59,3 +59,16 @@ def test_sql_functions_match_column_functions(spark):
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
     plan = df.selectExpr("to_days(ms)")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_command_line_jobs(spark):
+    from churnlens.__main__ import main
+
+    root = scratch_path(spark, "cli")
+    log = write_event_log_json(raw(spark, "/root/testdata/sf0.001"), f"{root}/raw")
+    assert main(["clean", "-i", log, "-o", f"{root}/cleaned"]) == 0
+    assert main(["features", "-i", f"{root}/cleaned", "-t", f"{root}/train", "-v", f"{root}/val"]) == 0
+    assert main(["train", "-a", "nb", "-i", f"{root}/train", "-o", f"{root}/models/nb"]) == 0
+    assert main(["evaluate", "-i", f"{root}/val", "-m", f"{root}/models/nb"]) == 0
+    assert main(["compare", "-m", f"nb={root}/models/nb"]) == 0
+    assert read_parquet(spark, f"{root}/cleaned").count() == 865
