@@ -95,10 +95,16 @@ def gender_by_churn(cleaned: DataFrame) -> DataFrame:
             .groupBy("churn", "gender").agg(F.count("gender").alias("cnt")))
 
 
-def system_share(cleaned: DataFrame) -> DataFrame:
+def system_counts(cleaned: DataFrame | None = None, sessions: DataFrame | None = None) -> DataFrame:
+    """Users per (churn, preferred system), the system being the user's greatest name."""
+    per_user = _sessions(cleaned, sessions).groupBy(*BY_CHURN_USER).agg(
+        F.max("system").alias("pref_user_system"))
+    return per_user.groupBy("churn", "pref_user_system").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def system_share(cleaned: DataFrame | None = None, sessions: DataFrame | None = None) -> DataFrame:
     """Share of users per preferred system within each churn group."""
-    per_user = cleaned.groupBy(*BY_CHURN_USER).agg(F.max("userSystem").alias("pref_user_system"))
-    counts = per_user.groupBy("churn", "pref_user_system").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = system_counts(cleaned, sessions)
     w = Window.partitionBy("churn")
     return counts.select("churn", "pref_user_system",
                          (F.col("cnt") / F.sum("cnt").over(w)).alias("percentage"))
@@ -137,45 +143,72 @@ def cancel_level(cleaned: DataFrame) -> DataFrame:
             .groupBy("churn", "level").agg(F.count("level").alias("cnt")))
 
 
-# --- Per-user distributions ------------------------------------------------------
+# --- Per-user and per-session distributions ---------------------------------------
+#
+# These read a (churn, user, session) summary instead of the log. Called with
+# the cleaned log alone they build it on the fly (one aggregate, partially
+# combined per task); an analysis running several of them passes
+# ``sessions=summarize(cleaned)`` — the summary written once to the shared
+# folder — and every comparison then reads a table orders of magnitude
+# smaller than the log.
+
+def session_summary(cleaned: DataFrame) -> DataFrame:
+    """One row per (churn, user, session) with what the comparisons need."""
+    return cleaned.groupBy("churn", "userId", "sessionId").agg(
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        F.sum(page_flag(UPGRADE_PAGE)).alias("n_upgrades"),
+        F.sum(page_flag(DOWNGRADE_PAGE)).alias("n_downgrades"),
+        F.max("userSystem").alias("system"))
+
+
+def summarize(cleaned: DataFrame) -> DataFrame:
+    """``session_summary`` written to the shared folder, for reuse."""
+    from churnlens.operators.joins import materialize
+    return materialize(session_summary(cleaned), "session-summary")
+
+
+def _sessions(cleaned: DataFrame | None, sessions: DataFrame | None) -> DataFrame:
+    return sessions if sessions is not None else session_summary(cleaned)
+
 
-def lifetimes(cleaned: DataFrame) -> DataFrame:
+def lifetimes(cleaned: DataFrame | None = None, sessions: DataFrame | None = None) -> DataFrame:
     """Days between first and last event per (churn, user)."""
-    return cleaned.groupBy(*BY_CHURN_USER).agg(to_days(F.max("ts") - F.min("ts")).alias("lifetime"))
+    return _sessions(cleaned, sessions).groupBy(*BY_CHURN_USER).agg(
+        to_days(F.max("last_ts") - F.min("first_ts")).alias("lifetime"))
 
 
-def lifetime_stats(cleaned: DataFrame) -> DataFrame:
-    return lifetimes(cleaned).groupBy("churn").agg(
+def lifetime_stats(cleaned: DataFrame | None = None, sessions: DataFrame | None = None) -> DataFrame:
+    return lifetimes(cleaned, sessions).groupBy("churn").agg(
         F.avg("lifetime").alias("avg"), F.min("lifetime").alias("min"),
         F.max("lifetime").alias("max"))
 
 
-def session_durations(cleaned: DataFrame, ordered: bool = True) -> DataFrame:
+def session_durations(cleaned: DataFrame | None = None, ordered: bool = True,
+                      sessions: DataFrame | None = None) -> DataFrame:
     """Minutes per (churn, user, session), sorted by user and session start."""
-    s = cleaned.groupBy("churn", "userId", "sessionId").agg(
-        to_minutes(F.max("ts") - F.min("ts")).alias("session_duration"),
-        F.min("ts").alias("first_ts"))
+    s = _sessions(cleaned, sessions).select(
+        "churn", "userId", "sessionId",
+        to_minutes(F.col("last_ts") - F.col("first_ts")).alias("session_duration"), "first_ts")
     if ordered:
         s = s.orderBy(F.asc("userId"), F.asc("first_ts"))
     return s.select("churn", "userId", "sessionId", "session_duration")
 
 
-def session_stats(cleaned: DataFrame) -> DataFrame:
+def session_stats(cleaned: DataFrame | None = None, sessions: DataFrame | None = None) -> DataFrame:
     """Mean, min and max session minutes per (churn, user)."""
-    return session_durations(cleaned, ordered=False).groupBy(*BY_CHURN_USER).agg(
+    return session_durations(cleaned, ordered=False, sessions=sessions).groupBy(*BY_CHURN_USER).agg(
         F.avg("session_duration").alias("avg"), F.min("session_duration").alias("min"),
         F.max("session_duration").alias("max"))
 
 
-def up_down_grades(cleaned: DataFrame) -> DataFrame:
+def up_down_grades(cleaned: DataFrame | None = None, sessions: DataFrame | None = None) -> DataFrame:
     """Submitted upgrades and downgrades per (churn, user).
 
     The per-user totals of the two flags; an aggregate rather than a window
     over all of a user's rows.
     """
-    return cleaned.groupBy(*BY_CHURN_USER).agg(
-        F.sum(page_flag(UPGRADE_PAGE)).alias("num_upgrades"),
-        F.sum(page_flag(DOWNGRADE_PAGE)).alias("num_downgrades"))
+    return _sessions(cleaned, sessions).groupBy(*BY_CHURN_USER).agg(
+        F.sum("n_upgrades").alias("num_upgrades"), F.sum("n_downgrades").alias("num_downgrades"))
 
 
 def melt(df: DataFrame, ids: list[str], value_type: str = "double") -> DataFrame:

@@ -185,9 +185,7 @@ def q_explore(fn):
 
 
 def q_system_by_churn(spark, sf):
-    c = cleaned(spark, sf)
-    per_user = FE.pref_user_system(c, X.BY_CHURN_USER)
-    return per_user.groupBy("churn", "pref_user_system").agg(F.count(F.lit(1)).alias("cnt"))
+    return X.system_counts(cleaned(spark, sf))
 
 
 def q_session_stats_long(spark, sf):

@@ -69,3 +69,15 @@ def test_describe_matches_builtin(spark):
     builtin = {r.summary: r for r in c.describe("ts", "length").collect()}
     assert int(builtin["count"].ts) == mine["ts"]["count"]
     assert abs(float(builtin["mean"].length) - mine["length"]["mean"]) < 1e-6
+
+
+def test_session_summary_reuse_gives_same_results(spark):
+    c = cleaned(spark, "/root/testdata/sf0.01")
+    s = X.summarize(c)
+    for fn in (X.lifetime_stats, X.session_stats, X.up_down_grades, X.system_share, X.system_counts):
+        a = sorted(tuple(r) for r in fn(c).collect())
+        b = sorted(tuple(r) for r in fn(sessions=s).collect())
+        assert a == b, fn.__name__
+    a = [tuple(r) for r in X.session_durations(c).collect()]
+    b = [tuple(r) for r in X.session_durations(sessions=s).collect()]
+    assert a == b
