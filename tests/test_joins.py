@@ -38,3 +38,22 @@ def test_rows_of_users(spark):
     ev = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "userId string, x int")
     users = spark.createDataFrame([("a",), ("a",)], "userId string")
     assert sorted(r.x for r in rows_of_users(ev, users).collect()) == [1, 3]
+
+
+def test_salt_counts_are_bounded_for_any_skew(spark):
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shapes = {
+        "one_third": F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500),
+        "zipf_like": F.floor(F.lit(1000) / (F.col("id") % 1000 + 1)).cast("long"),
+        "uniform": F.col("id") % 5000,
+    }
+    for name, key in shapes.items():
+        big = spark.range(60_000).select(key.alias("k"))
+        total = 60_000
+        share = total // n_parts
+        hot = hot_keys(big, ["k"]).collect()
+        salts = sum(r["__hot"] for r in hot)
+        assert len(hot) < n_parts and salts <= 3 * n_parts, name
+        counts = {r.k: r["count"] for r in big.groupBy("k").count().collect()}
+        for r in hot:  # every salted piece holds at most half a fair share
+            assert counts[r.k] / r["__hot"] <= share / 2 + 1, name
