@@ -5,6 +5,7 @@
     python -m churnlens train    -a lr|svm|nb|rf|all -i train.parquet -o models/lr
     python -m churnlens evaluate -i validation.parquet -m models/lr
     python -m churnlens compare  -m svm=models/svm lr=models/lr ...
+    python -m churnlens explore  -i cleaned.parquet -o exploration/
 
 Uses the active session when there is one (spark-submit), else a local one.
 """
@@ -46,6 +47,9 @@ def main(argv: list[str] | None = None) -> int:
     e = sub.add_parser("evaluate")
     e.add_argument("-i", "--input_path", required=True)
     e.add_argument("-m", "--model_path", required=True)
+    x = sub.add_parser("explore")
+    x.add_argument("-i", "--input", required=True)
+    x.add_argument("-o", "--output_dir", required=True)
     m = sub.add_parser("compare")
     m.add_argument("-m", "--models", nargs="+", required=True, help="algo=path ...")
     args = p.parse_args(argv)
@@ -63,6 +67,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "evaluate":
         from churnlens.plans.evaluate_job import run_evaluation
         run_evaluation(spark, args.input_path, args.model_path).show(truncate=False)
+    elif args.job == "explore":
+        from churnlens.plans.explore_job import run_exploration
+        run_exploration(spark, args.input, args.output_dir)
     elif args.job == "compare":
         from churnlens.plans.compare import compare_models
         paths = dict(x.split("=", 1) for x in args.models)

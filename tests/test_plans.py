@@ -72,3 +72,16 @@ def test_command_line_jobs(spark):
     assert main(["evaluate", "-i", f"{root}/val", "-m", f"{root}/models/nb"]) == 0
     assert main(["compare", "-m", f"nb={root}/models/nb"]) == 0
     assert read_parquet(spark, f"{root}/cleaned").count() == 865
+
+
+def test_exploration_job_writes_every_comparison(spark):
+    from churnlens.__main__ import main
+    from churnlens.plans.registry import cleaned
+    from churnlens.sources import write_parquet
+
+    root = scratch_path(spark, "explore")
+    write_parquet(cleaned(spark, "/root/testdata/sf0.01"), f"{root}/cleaned")
+    assert main(["explore", "-i", f"{root}/cleaned", "-o", f"{root}/out"]) == 0
+    shares = read_parquet(spark, f"{root}/out/hour_share_loyal")
+    assert shares.count() == 24
+    assert read_parquet(spark, f"{root}/out/hist_lifetime").agg(F.sum("cnt")).first()[0] == 141
