@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from churnlens.operators import explore as X
 from churnlens.operators import features as FE
 from churnlens.operators.histogram import histogram
+from churnlens.session import ensure_core_conf
 from churnlens.sources import read_parquet, write_parquet
 
 
@@ -50,6 +51,7 @@ def comparisons(cleaned: DataFrame, sessions: DataFrame) -> dict[str, Callable[[
 def run_exploration(spark: SparkSession, cleaned_path: str, out_dir: str, *,
                     mode: str = "errorifexists") -> list[str]:
     """Write every comparison under ``out_dir``; returns the table names."""
+    ensure_core_conf(spark)  # hours, weekdays and months in UTC
     cleaned = read_parquet(spark, cleaned_path)
     sessions = X.summarize(cleaned)
     names = []
