@@ -262,6 +262,35 @@ pc AS (SELECT lab.c, lw, tp,
 FROM pc"""
 
 
+def _naive_bayes() -> str:
+    """Multinomial naive Bayes (smoothing 1) trained on the weighted, MaxAbs-scaled
+    train split and applied to the validation split: closed form, so SQL can follow it."""
+    n_scalar = len(SCALARS)
+    return w(FEATS, _long_features(), f"""sp AS (SELECT userId, churn, {SPLIT} AS split FROM feats),
+wts AS (SELECT userId, churn, split,
+               0.5 / COUNT(*) OVER (PARTITION BY split, CASE WHEN churn = 0 THEN 0 ELSE 1 END) AS w FROM sp),
+lt AS (SELECT l.userId, l.idx, l.value, s.split, s.churn, s.w FROM long_f l JOIN wts s ON s.userId = l.userId),
+mx AS (SELECT idx, MAX(ABS(value)) AS m FROM lt WHERE split = 'train' GROUP BY idx),
+scl AS (SELECT lt.userId, lt.idx, lt.split, lt.churn, lt.w,
+              CASE WHEN mx.m IS NULL OR mx.m = 0 THEN 0.0 ELSE lt.value / mx.m END AS x
+       FROM lt LEFT JOIN mx ON mx.idx = lt.idx),
+okw AS (SELECT ok.userId, wts.churn, wts.w FROM ok JOIN wts ON wts.userId = ok.userId WHERE wts.split = 'train'),
+cls AS (SELECT churn AS c, SUM(w) AS n FROM okw GROUP BY churn),
+tf AS (SELECT churn AS c, idx, SUM(w * x) AS s FROM scl WHERE split = 'train' GROUP BY churn, idx),
+tot AS (SELECT c, SUM(s) AS t FROM tf GROUP BY c),
+dims AS (SELECT {n_scalar} + k - 1 + {len(PAGE_COLS)} AS d FROM nsys),
+nl AS (SELECT COUNT(*) AS nlab, SUM(n) AS ndoc FROM cls),
+pri AS (SELECT c, LN(n + 1.0) - LN(ndoc + nlab * 1.0) AS p FROM cls, nl),
+va AS (SELECT * FROM scl WHERE split = 'validation' AND x <> 0),
+vusers AS (SELECT DISTINCT userId, churn FROM va),
+score AS (
+  SELECT v.userId, pri.c, pri.p + SUM(v.x * (LN(COALESCE(tf.s, 0.0) + 1.0) - LN(tot.t + dims.d))) AS r
+  FROM va v CROSS JOIN pri JOIN tot ON tot.c = pri.c CROSS JOIN dims
+       LEFT JOIN tf ON tf.c = pri.c AND tf.idx = v.idx
+  GROUP BY v.userId, pri.c, pri.p)""") + """SELECT u.userId, u.churn, CAST(FIRST(s.c ORDER BY s.r DESC, s.c ASC) AS DOUBLE) AS prediction
+FROM vusers u JOIN score s ON s.userId = u.userId GROUP BY u.userId, u.churn"""
+
+
 def _per_user(expr: str, name: str, by: str = "userId") -> str:
     return w() + f"SELECT {by}, {expr} AS {name} FROM cleaned GROUP BY {by}"
 
@@ -367,5 +396,6 @@ ORACLE: dict[str, str] = {
                                + "SELECT l.userId, l.idx, l.value / mx.m AS value FROM long_f l JOIN mx ON l.idx = mx.idx WHERE l.value <> 0",
                                ["value"]),
     "confusion_metrics": _confusion(),
+    "churn_nb": _naive_bayes(),
 }
 
