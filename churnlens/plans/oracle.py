@@ -397,5 +397,6 @@ ORACLE: dict[str, str] = {
                                ["value"]),
     "confusion_metrics": _confusion(),
     "churn_nb": _naive_bayes(),
+    "model_roundtrip": _naive_bayes(),
 }
 
