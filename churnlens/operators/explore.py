@@ -137,6 +137,27 @@ def bucket_share(cleaned: DataFrame, bucket: str, group: Column | DataFrame | No
             .orderBy(F.desc("count")))
 
 
+def time_bucket_counts(cleaned: DataFrame) -> DataFrame:
+    """Events per (group, hour, weekday), group 'loyal' / 'cancelled'.
+
+    One pass over the log serves all four time-share tables
+    (``share_from_counts``); the result has at most 2 x 25 x 8 rows.
+    """
+    group = F.when(cancelled(), F.lit("cancelled")).otherwise(F.lit("loyal"))
+    return cleaned.groupBy(group.alias("group"), to_hour("ts").alias("hour"),
+                           to_day("ts").alias("weekday")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def share_from_counts(counts: DataFrame, bucket: str, group: str) -> DataFrame:
+    """``bucket_share`` of one group, from ``time_bucket_counts``."""
+    g = (counts.filter(F.col("group") == group).groupBy(bucket)
+         .agg(F.coalesce(F.sum(F.when(F.col(bucket).isNotNull(), F.col("n"))), F.lit(0).cast("long"))
+              .alias("__n"), F.sum("n").alias("__all")))
+    total = F.sum("__all").over(Window.partitionBy())
+    return (g.select(bucket, (F.col("__n") / total).alias("count"))
+            .orderBy(F.desc("count")))
+
+
 def cancel_level(cleaned: DataFrame) -> DataFrame:
     """Plan level at the cancellation event, per churn group."""
     return (cleaned.filter(F.col("page") == CANCEL_PAGE)

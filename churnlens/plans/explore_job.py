@@ -1,8 +1,9 @@
 """Exploration job: every loyal-vs-cancelled comparison, written as tables.
 
-The cleaned log is summarised once per (churn, user, session); the
-session-level comparisons and histograms read that summary, the event-level
-ones (time shares, plan level at cancellation, gender, clicks) read the log.
+The cleaned log is summarised once per (churn, user, session) and once per
+(group, hour, weekday); the session-level comparisons, histograms and the four
+time shares read those summaries, the rest (plan level at cancellation,
+gender, clicks) read the log.
 Each result is a small aggregate written as parquet under ``out_dir/<name>``.
 """
 
@@ -15,19 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 from churnlens.operators import explore as X
 from churnlens.operators import features as FE
 from churnlens.operators.histogram import histogram
+from churnlens.operators.joins import materialize
 from churnlens.session import ensure_core_conf
 from churnlens.sources import read_parquet, write_parquet
 
 
-def comparisons(cleaned: DataFrame, sessions: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+def comparisons(cleaned: DataFrame, sessions: DataFrame,
+                times: DataFrame) -> dict[str, Callable[[], DataFrame]]:
     by = X.BY_CHURN_USER
     return {
         "gender_by_churn": lambda: X.gender_by_churn(cleaned),
         "system_share": lambda: X.system_share(sessions=sessions),
-        "hour_share_loyal": lambda: X.bucket_share(cleaned, "hour", X.loyal()),
-        "hour_share_cancelled": lambda: X.bucket_share(cleaned, "hour", X.cancelled()),
-        "weekday_share_loyal": lambda: X.bucket_share(cleaned, "weekday", X.loyal()),
-        "weekday_share_cancelled": lambda: X.bucket_share(cleaned, "weekday", X.cancelled()),
+        "hour_share_loyal": lambda: X.share_from_counts(times, "hour", "loyal"),
+        "hour_share_cancelled": lambda: X.share_from_counts(times, "hour", "cancelled"),
+        "weekday_share_loyal": lambda: X.share_from_counts(times, "weekday", "loyal"),
+        "weekday_share_cancelled": lambda: X.share_from_counts(times, "weekday", "cancelled"),
         "lifetime_stats": lambda: X.lifetime_stats(sessions=sessions),
         "session_stats_long": lambda: X.melt(X.session_stats(sessions=sessions), list(by)),
         "up_down_grades_long": lambda: X.melt(X.up_down_grades(sessions=sessions), list(by), "long"),
@@ -54,8 +57,9 @@ def run_exploration(spark: SparkSession, cleaned_path: str, out_dir: str, *,
     ensure_core_conf(spark)  # hours, weekdays and months in UTC
     cleaned = read_parquet(spark, cleaned_path)
     sessions = X.summarize(cleaned)
+    times = materialize(X.time_bucket_counts(cleaned), "time-bucket-counts")
     names = []
-    for name, build in comparisons(cleaned, sessions).items():
+    for name, build in comparisons(cleaned, sessions, times).items():
         write_parquet(build().coalesce(1), f"{out_dir.rstrip('/')}/{name}", mode)
         names.append(name)
     return names

@@ -81,3 +81,14 @@ def test_session_summary_reuse_gives_same_results(spark):
     a = [tuple(r) for r in X.session_durations(c).collect()]
     b = [tuple(r) for r in X.session_durations(sessions=s).collect()]
     assert a == b
+
+
+def test_time_shares_from_one_pass(spark):
+    c = cleaned(spark, "/root/testdata/sf0.01")
+    counts = X.time_bucket_counts(c)
+    assert counts.count() <= 2 * 25 * 8
+    for bucket in ("hour", "weekday"):
+        for name, pred in (("loyal", X.loyal()), ("cancelled", X.cancelled())):
+            a = sorted(tuple(r) for r in X.share_from_counts(counts, bucket, name).collect())
+            b = sorted(tuple(r) for r in X.bucket_share(c, bucket, pred).collect())
+            assert len(a) == len(b) and all(x[0] == y[0] and abs(x[1] - y[1]) < 1e-12 for x, y in zip(a, b))
