@@ -97,14 +97,33 @@ def cross_validator(pipe: Pipeline, grid: list, seed: int = 42) -> CrossValidato
                           numFolds=3, parallelism=4, seed=seed)
 
 
+def training_layout(df: DataFrame, key: str = "userId",
+                    rows_per_partition: int = 200_000) -> DataFrame:
+    """Deterministic partitioning of a per-user training table.
+
+    Hash-partitioned by ``key`` into ``ceil(rows / rows_per_partition)``
+    partitions and sorted inside each, so seeded sampling (forest bootstrap,
+    cross-validation folds) sees the same rows in the same order however the
+    input was written — and a partition recomputed after an executor loss is
+    identical. The partition count follows the data, so iterative solvers run
+    few, well-filled tasks per iteration instead of one per shuffle partition.
+    """
+    if key not in df.columns:
+        return df
+    n = max(1, -(-df.count() // rows_per_partition))
+    return df.repartition(n, key).sortWithinPartitions(key)
+
+
 def train(df: DataFrame, algo: str, *, cross_validate: str | bool = "auto",
           with_encoding: bool = False, seed: int = 42) -> PipelineModel:
     """Fit one algorithm and return the best pipeline model.
 
     ``cross_validate='auto'`` runs the cross-validator only when the grid has
     more than one parameter map; with one map it would select that map anyway
-    and refit it on all rows, which is exactly the plain fit.
+    and refit it on all rows, which is exactly the plain fit. The input is
+    first given a deterministic layout (``training_layout``).
     """
+    df = training_layout(df)
     pipe, grid = training_pipeline(algo, with_encoding=with_encoding, seed=seed)
     run_cv = (len(grid) > 1) if cross_validate == "auto" else bool(cross_validate)
     if run_cv:

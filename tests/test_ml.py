@@ -99,3 +99,12 @@ def test_pipeline_learns_a_learnable_label(spark, algo):
     model = train(data, algo)
     m = weighted_metrics(model.transform(data)).first()
     assert m.f1 > (0.6 if algo == "nb" else 0.8), (algo, m.f1)
+
+
+def test_forest_is_reproducible_across_input_layouts(spark, parts):
+    train_df, validation = parts
+    a = sorted((r.userId, r.prediction, tuple(r.probability))
+               for r in train(train_df.repartition(7), "rf").transform(validation).collect())
+    b = sorted((r.userId, r.prediction, tuple(r.probability))
+               for r in train(train_df.coalesce(1), "rf").transform(validation).collect())
+    assert a == b
