@@ -24,9 +24,13 @@ BY_CHURN_USER = ("churn", "userId")
 
 # --- Profiles --------------------------------------------------------------------
 
-def first_rows(df: DataFrame, n: int = 10) -> DataFrame:
-    """Any ``n`` rows, for a look at the data (no order implied)."""
-    return df.limit(n)
+def first_rows(df: DataFrame, n: int = 10, order: list[str] | None = None) -> DataFrame:
+    """``n`` rows for a look at the data: any ``n`` rows, or the first ``n`` by ``order``.
+
+    With an order Spark plans a distributed top-k (each task keeps its best
+    ``n``), not a global sort.
+    """
+    return df.orderBy(*order).limit(n) if order else df.limit(n)
 
 
 def unique_values(df: DataFrame, column: str) -> DataFrame:

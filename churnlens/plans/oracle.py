@@ -307,6 +307,9 @@ ORACLE: dict[str, str] = {
         OVER (PARTITION BY userId ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS churn_phase
         FROM cleaned""", ["length"]),
     "time_parts": w() + f"SELECT userId, ts, {hour('ts')} AS hour, {month('ts')} AS month, {weekday('ts')} AS weekday FROM cleaned",
+    "first_events": w() + "SELECT * FROM event_log ORDER BY " + ", ".join(
+        f"{c} ASC NULLS FIRST" for c in ["ts", "userId", "page", "level", "sessionId", "gender",
+                                          "itemInSession", "userAgent", "length", "auth"]) + " LIMIT 10",
     "unique_pages": w() + "SELECT DISTINCT page FROM event_log",
     "unique_levels": w() + "SELECT DISTINCT level FROM event_log",
     "unique_auth": w() + "SELECT DISTINCT auth FROM event_log",
