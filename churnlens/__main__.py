@@ -35,11 +35,13 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("-i", "--input_file", required=True)
     c.add_argument("-o", "--output_file", required=True)
     c.add_argument("--format", default="json")
+    c.add_argument("--mode", default="errorifexists", help="e.g. overwrite, to rerun a failed step")
     f = sub.add_parser("features")
     f.add_argument("-i", "--input", required=True)
     f.add_argument("-t", "--traintest", required=True)
     f.add_argument("-v", "--validation", required=True)
     f.add_argument("--split", default="hash", choices=["hash", "random"])
+    f.add_argument("--mode", default="errorifexists")
     t = sub.add_parser("train")
     t.add_argument("-a", "--algo", required=True)
     t.add_argument("-i", "--input_data", required=True)
@@ -50,6 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     x = sub.add_parser("explore")
     x.add_argument("-i", "--input", required=True)
     x.add_argument("-o", "--output_dir", required=True)
+    x.add_argument("--mode", default="errorifexists")
     m = sub.add_parser("compare")
     m.add_argument("-m", "--models", nargs="+", required=True, help="algo=path ...")
     args = p.parse_args(argv)
@@ -57,10 +60,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session()
     if args.job == "clean":
         from churnlens.plans.clean_job import run_clean
-        run_clean(spark, args.input_file, args.output_file, fmt=args.format)
+        run_clean(spark, args.input_file, args.output_file, fmt=args.format, mode=args.mode)
     elif args.job == "features":
         from churnlens.plans.feature_job import run_features
-        run_features(spark, args.input, args.traintest, args.validation, method=args.split)
+        run_features(spark, args.input, args.traintest, args.validation, method=args.split,
+                     mode=args.mode)
     elif args.job == "train":
         from churnlens.plans.train_job import run_training
         run_training(spark, args.algo, args.input_data, args.output_model)
@@ -69,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
         run_evaluation(spark, args.input_path, args.model_path).show(truncate=False)
     elif args.job == "explore":
         from churnlens.plans.explore_job import run_exploration
-        run_exploration(spark, args.input, args.output_dir)
+        run_exploration(spark, args.input, args.output_dir, mode=args.mode)
     elif args.job == "compare":
         from churnlens.plans.compare import compare_models
         paths = dict(x.split("=", 1) for x in args.models)

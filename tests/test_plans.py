@@ -67,6 +67,7 @@ def test_command_line_jobs(spark):
     root = scratch_path(spark, "cli")
     log = write_event_log_json(raw(spark, "/root/testdata/sf0.001"), f"{root}/raw")
     assert main(["clean", "-i", log, "-o", f"{root}/cleaned"]) == 0
+    assert main(["clean", "-i", log, "-o", f"{root}/cleaned", "--mode", "overwrite"]) == 0  # rerun
     assert main(["features", "-i", f"{root}/cleaned", "-t", f"{root}/train", "-v", f"{root}/val"]) == 0
     assert main(["train", "-a", "nb", "-i", f"{root}/train", "-o", f"{root}/models/nb"]) == 0
     assert main(["evaluate", "-i", f"{root}/val", "-m", f"{root}/models/nb"]) == 0
