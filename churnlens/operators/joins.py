@@ -52,10 +52,17 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner", *,
-               max_rows: int | None = None, already_materialized: bool = False) -> DataFrame:
-    """Join ``big`` with ``small`` (at most one row per key of ``on``)."""
+               max_rows: int | None = None, already_materialized: bool = False,
+               proven_rows: int | None = None) -> DataFrame:
+    """Join ``big`` with ``small`` (at most one row per key of ``on``).
+
+    ``proven_rows`` is a bound the caller knows from how ``small`` was built
+    (e.g. one row per class): within the limit it is broadcast with no check.
+    """
     spark = big.sparkSession
     limit = max_rows if max_rows is not None else max_broadcast_rows(spark)
+    if proven_rows is not None and proven_rows <= limit:
+        return big.join(F.broadcast(small), on, how)
     if not already_materialized:
         small = materialize(small, "small-side")
     if fits(small, limit):

@@ -41,17 +41,21 @@ def train_validation_split(df: DataFrame, method: str = "hash",
 
 
 def with_class_weights(df: DataFrame, label: str = "churn", by: list[str] | None = None,
-                       name: str = "weightCol") -> DataFrame:
+                       name: str = "weightCol", groups: int | None = None) -> DataFrame:
     """``weightCol`` = 0.5 / (rows of the row's class): each class sums to 0.5.
 
     Class 0 is ``label = 0``, every other label value is the positive class.
     Computed per ``by`` group (e.g. per split) when given. The class counts
     (one row per group and class) are joined back broadcast; an absent class
-    never divides by zero because none of its rows exist.
+    never divides by zero because none of its rows exist. The count table has
+    at most 2 rows per group: without ``by``, or with ``groups`` (the number of
+    ``by`` values, when the caller knows it), that bound is proven and the
+    broadcast needs no size check.
     """
     by = list(by or [])
     cls = F.when(F.col(label) == 0, 0).otherwise(1)
     tagged = df.withColumn("__cls", cls)
     counts = tagged.groupBy(*by, "__cls").agg(F.count(F.lit(1)).alias("__n"))
-    out = join_small(tagged, counts, by + ["__cls"], "inner")
+    bound = 2 if not by else (2 * groups if groups else None)
+    out = join_small(tagged, counts, by + ["__cls"], "inner", proven_rows=bound)
     return out.withColumn(name, F.lit(0.5) / F.col("__n")).select(*df.columns, name)

@@ -28,7 +28,7 @@ def weighted_split(features: DataFrame, method: str = "hash") -> tuple[DataFrame
     """(train, validation), each with class weights computed inside its part."""
     if method == "hash":
         tagged = features.withColumn("split", split_column())
-        weighted = with_class_weights(tagged, by=["split"])
+        weighted = with_class_weights(tagged, by=["split"], groups=2)  # train / validation
         return (weighted.filter(F.col("split") == "train").drop("split"),
                 weighted.filter(F.col("split") == "validation").drop("split"))
     train, validation = train_validation_split(features, method=method)

@@ -244,7 +244,7 @@ def q_train_val_split(spark, sf):
 def q_class_weights(spark, sf):
     f = FE.user_features(cleaned(spark, sf)).select("userId", "churn")
     f = f.withColumn("split", split_column())
-    return rounded(with_class_weights(f, by=["split"]))
+    return rounded(with_class_weights(f, by=["split"], groups=2))
 
 
 def q_system_index(spark, sf):
