@@ -362,6 +362,13 @@ ORACLE: dict[str, str] = {
     "cancel_level": w() + f"SELECT churn, level, COUNT(level) AS cnt FROM cleaned WHERE page = {q(CANCEL_PAGE)} GROUP BY churn, level",
     "lifetime_stats": rounded(w(LIFETIMES) + "SELECT churn, AVG(lifetime) AS avg, MIN(lifetime) AS min, MAX(lifetime) AS max FROM vals GROUP BY churn", ["avg"]),
     "session_durations": w(SESSIONS) + "SELECT * FROM vals",
+    "lifetimes": w(LIFETIMES) + "SELECT * FROM vals",
+    "avg_length_by_churn": rounded(_per_user("AVG(length)", "avg_len", "churn, userId"), ["avg_len"]),
+    "avg_items_by_churn": rounded(_per_user("AVG(itemInSession)", "avg", "churn, userId"), ["avg"]),
+    "avg_sess_p_day_by_churn": rounded(_per_user(
+        f"COUNT(DISTINCT sessionId) / ({days('MAX(ts) - MIN(ts)')} + 1)", "avg_sess_p_day", "churn, userId"),
+        ["avg_sess_p_day"]),
+    "pref_user_system_by_churn": _per_user("MAX(userSystem)", "pref_user_system", "churn, userId"),
     "session_stats": rounded(w(SESSION_STATS) + "SELECT * FROM stats", ["avg"]),
     "session_stats_long": rounded(w(SESSION_STATS_LONG) + "SELECT * FROM vals", ["value"]),
     "up_down_grades": w(UPDOWN) + "SELECT * FROM ud",

@@ -190,6 +190,15 @@ def q_system_by_churn(spark, sf):
     return X.system_counts(cleaned(spark, sf))
 
 
+def q_by_churn(fn, **kw):
+    """A per-user feature computed per (churn, userId), as the group comparisons use it."""
+    return lambda spark, sf: rounded(fn(cleaned(spark, sf), X.BY_CHURN_USER, **kw))
+
+
+def q_lifetimes(spark, sf):
+    return X.lifetimes(cleaned(spark, sf))
+
+
 def q_session_stats_long(spark, sf):
     return rounded(X.melt(X.session_stats(cleaned(spark, sf)), ["churn", "userId"]))
 
@@ -358,6 +367,11 @@ QUERIES: dict[str, Query] = {
     "cancel_level": q_explore(X.cancel_level),
     "lifetime_stats": q_explore(X.lifetime_stats),
     "session_durations": q_explore(X.session_durations),
+    "lifetimes": q_lifetimes,
+    "avg_length_by_churn": q_by_churn(FE.avg_length, name="avg_len"),
+    "avg_items_by_churn": q_by_churn(FE.avg_items_p_sess, name="avg"),
+    "avg_sess_p_day_by_churn": q_by_churn(FE.avg_sess_p_day),
+    "pref_user_system_by_churn": q_by_churn(FE.pref_user_system),
     "session_stats": q_explore(X.session_stats),
     "session_stats_long": q_session_stats_long,
     "up_down_grades": q_explore(X.up_down_grades),
