@@ -60,12 +60,26 @@ def with_churn_phase(df: DataFrame, bucket_ms: int = 60_000) -> DataFrame:
     """``churn_phase`` = the user's cancellations up to and including this ``ts``.
 
     The running (ordered) variant of the label. Rows with equal ``ts`` share a
-    value (RANGE frame), so the result does not depend on row order. Computed
-    as a two-level prefix sum so a hot user is spread over time buckets:
-    per-(user, bucket) counts, a prefix over the user's buckets (bounded by the
-    time span / ``bucket_ms``), then a running sum inside each (user, bucket).
-    With one-minute buckets a user holding a third of a 60-day log is spread
-    over ~86k sort partitions, and the prefix sees at most ~86k rows per user.
+    value (RANGE frame), so the result does not depend on row order. On a
+    cleaned log (``churn`` on every row) rows of users who never cancelled get
+    0 without any shuffle; only cancelling users' rows go through the running
+    count.
+    """
+    if "churn" not in df.columns:
+        return _running_cancellations(df, bucket_ms)
+    churned = F.coalesce(F.col("churn"), F.lit(0)) > 0
+    quiet = df.filter(~churned).withColumn("churn_phase", F.lit(0).cast("long"))
+    return quiet.unionByName(_running_cancellations(df.filter(churned), bucket_ms))
+
+
+def _running_cancellations(df: DataFrame, bucket_ms: int) -> DataFrame:
+    """Running cancellation count as a two-level prefix sum.
+
+    Per-(user, bucket) counts, a prefix over the user's buckets (bounded by
+    the time span / ``bucket_ms``), then a running sum inside each (user,
+    bucket). With one-minute buckets a user holding a third of a 60-day log
+    is spread over ~86k sort partitions, and the prefix sees at most ~86k rows
+    per user.
     """
     x = (df.withColumn("__b", F.floor(F.col("ts") / bucket_ms))
            .withColumn("__f", page_flag(CANCEL_PAGE)))
