@@ -67,3 +67,12 @@ def test_cleaned_counts_match_fixture_notes(spark):
     assert c.count() == 9405
     per = c.groupBy("userId").agg(F.max("churn").alias("c")).groupBy("c").count().collect()
     assert {r.c: r["count"] for r in per} == {0: 85, 1: 51, 2: 4, 3: 1}
+
+
+def test_churn_phase_without_label_column_and_with_it_agree(spark):
+    df = keep_columns(with_user_system(rows(spark, [
+        ev(user="1", ts=10), ev(user="1", page=CANCEL_PAGE, ts=20), ev(user="1", ts=60_000 * 5),
+        ev(user="2", ts=5), ev(user="2", ts=6)])))
+    a = sorted((r.userId, r.ts, r.churn_phase) for r in with_churn_phase(df).collect())
+    b = sorted((r.userId, r.ts, r.churn_phase) for r in with_churn_phase(with_churn(df)).collect())
+    assert a == b == [("1", 10, 0), ("1", 20, 1), ("1", 300_000, 1), ("2", 5, 0), ("2", 6, 0)]
