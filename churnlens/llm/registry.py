@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+from churnlens.llm.brown_lm import op7_lm_scoring
 from churnlens.llm.line_dedup import OP8_SQL, op8_line_dedup
+from churnlens.llm.lsh_search import op5_nearest
 from churnlens.llm.mixing import OP4_SQL, op4_mixing
+from churnlens.llm.personal import op9_personal_data
+from churnlens.llm.pieces import op6_sentencepiece
 from churnlens.llm.quality import OP3_SQL, op3_quality_rules
 from churnlens.llm.sharding import op10_sharding
+from churnlens.llm.simhash import op2_simhash
 from churnlens.llm.url_filter import OP1_SQL, op1_url_filters
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op4_mixing": op4_mixing,
+    "op5_nearest": op5_nearest,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_line_dedup": op8_line_dedup,
+    "op9_personal_data": op9_personal_data,
     "op10_sharding": op10_sharding,
 }
 ORACLE = {
