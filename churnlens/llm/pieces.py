@@ -165,10 +165,11 @@ class Pieces:
         into = self.edges(s)
         ahead, _ = self.forward(into)
         count = itertools.count()
-        queue: list = [(-ahead[-1], next(count), len(s), 0.0, None)]
+        # of equal estimates the one nearest the start goes first
+        queue: list = [(-ahead[-1], len(s), next(count), 0.0, None)]
         out: list[tuple[float, list[int]]] = []
         while queue and len(out) < n:
-            _, _, j, done, path = heapq.heappop(queue)
+            _, j, _, done, path = heapq.heappop(queue)
             if not j:
                 steps = []
                 while path:
@@ -177,7 +178,7 @@ class Pieces:
                 out.append((done, self.ids(s, steps)))
                 continue
             for i, score, piece in into[j]:
-                heapq.heappush(queue, (-(done + score + ahead[i]), next(count), i, done + score, ((i, j, piece), path)))
+                heapq.heappush(queue, (-(done + score + ahead[i]), i, next(count), done + score, ((i, j, piece), path)))
         return out
 
     def decode(self, ids) -> str:
