@@ -288,9 +288,9 @@ def fit_field(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Fi
         F.pmod("order", F.lit(1_000_000)) < round(1_000_000 * share))
     rows = (sample.mapInArrow(_examples, "order long, at int, row array<int>")
             .orderBy("order", "at", "row").limit(FIT_TOKENS).collect())
-    data = np.array([r["row"] for r in rows], np.int64).reshape(len(rows), -1)
-    if not len(data):
+    if not rows:
         return Field(np.zeros((FEATURES, LABELS)), np.zeros((LABELS, LABELS)), SKIP_PRIOR)
+    data = np.array([r["row"] for r in rows], np.int64)
     return Field.fit(data[:, :-5], data[:, -5], data[:, -4], data[:, -3], data[:, -2:])
 
 
