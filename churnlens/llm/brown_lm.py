@@ -286,7 +286,7 @@ def _score(shared, n_words: int):
                      pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int32())])))
             kept = batch.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, t) for c, t in zip(cols, types))],
-                                             names=[*kept.schema.names, "n_tokens", "n_known", "base_score", "score", "rare"])
+                                             names=[*kept.schema.names, "n_tokens", "n_known", "base_score", "score", "__rare"])
     return score
 
 
@@ -304,12 +304,12 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     named = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in named.drop("text").schema),
                         "n_tokens long, n_known long, base_score double, score double, "
-                        "rare array<struct<word:binary, k:int>>"])
+                        "__rare array<struct<word:binary, k:int>>"])
     part = materialize(named.mapInArrow(_score(shared, n_words), schema)
                        .withColumn("__row", F.monotonically_increasing_id()), "scores")
     # words below the tasks' table: joined with their counts, summed per text
     rest = model.vocabulary.filter(F.col("n") * KNOWN < model.tokens)
-    rare = part.select("__row", F.explode("rare").alias("r")).select("__row", "r.word", "r.k")
+    rare = part.select("__row", F.explode("__rare").alias("r")).select("__row", "r.word", "r.k")
     n = F.coalesce("n", F.lit(0))
     more = (rare.join(rest, "word", "left").groupBy("__row")
             .agg(F.sum(F.when(n > 0, F.col("k")).otherwise(0)).alias("__known"),

@@ -129,7 +129,7 @@ def _sized(docs: DataFrame, text: str, doc_id: str, source: str, seed: int) -> D
 def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", *,
         weights: Sequence[int] = WEIGHTS, seed: int = SEED) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mix takes it, columns unchanged."""
-    plan = plan_mix(_sized(docs, text, doc_id, source, seed), weights=weights)
+    plan = plan_mix(_sized(docs, text, doc_id, source, seed), weights=weights).select("__source", "__whole", "__cut")
     named = docs.withColumns({"__size": n_words(F.col(text)), "__key": order_key(F.col(doc_id), seed)})
     return (named.join(plan, F.col(f"`{source}`").eqNullSafe(F.col("__source")), "left")
             .withColumn("__copies", _copies(F.col("__size"), F.col("__key")))
