@@ -175,6 +175,8 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     the fingerprints connected by chains of at most ``max_bits`` differing bits."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the grid's halves cover distances up to 3")
+    # the small table of nodes grows by a factor of up to 34 here: spread it first
+    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     rows = (nodes.select("fp", F.explode(_cells(segment_counts(F.col("fp")))).alias("__c"))
             .select("fp", "__c.cell", "__c.probe"))
     own = (nodes.select(F.explode(F.filter(_cells(segment_counts(F.col("fp"))), lambda s: s["probe"] == 0)).alias("__c"))
@@ -200,7 +202,7 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows = materialize(docs.select(F.col(doc_id).alias("__doc"), F.xxhash64(text).alias("__text"),
                                    fingerprints(F.col(text)).alias("fp")), "fingerprints")
     nodes = materialize(rows.groupBy("fp").agg(F.min("__doc").alias("__least")), "nodes")
-    stars = components(near_links(nodes.select("fp"), max_bits))
+    stars = components(materialize(near_links(nodes.select("fp"), max_bits), "links"))
     rooted = nodes.join(stars.withColumnsRenamed({"a": "fp", "b": "__root"}), "fp", "left").withColumn(
         "__root", F.coalesce("__root", "fp"))
     least = rooted.groupBy("__root").agg(F.min("__least").alias("component_id"))
