@@ -7,7 +7,7 @@
     python -m churnlens compare  -m svm=models/svm lr=models/lr ...
     python -m churnlens explore  -i cleaned.parquet -o exploration/
 
-Uses the active session when there is one (spark-submit), else a local one.
+Runs where it is submitted: only runtime SQL settings are set here.
 """
 
 from __future__ import annotations
@@ -19,13 +19,12 @@ from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        from churnlens.session import ensure_core_conf
-        ensure_core_conf(active)
-        return active
-    from churnlens.session import build_session
-    return build_session(master="local[*]")
+    """The session of the submit: master, memory and partitions are the submitter's."""
+    from churnlens.session import ensure_core_conf
+
+    spark = SparkSession.builder.appName("churnlens").getOrCreate()
+    ensure_core_conf(spark)
+    return spark
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -36,6 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("-o", "--output_file", required=True)
     c.add_argument("--format", default="json")
     c.add_argument("--mode", default="errorifexists", help="e.g. overwrite, to rerun a failed step")
+    c.add_argument("--bad-lines", default="fail", choices=["fail", "keep"],
+                   help="fail on lines that do not fit the schema, or keep them beside the output")
     f = sub.add_parser("features")
     f.add_argument("-i", "--input", required=True)
     f.add_argument("-t", "--traintest", required=True)
@@ -60,7 +61,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session()
     if args.job == "clean":
         from churnlens.plans.clean_job import run_clean
-        run_clean(spark, args.input_file, args.output_file, fmt=args.format, mode=args.mode)
+        run_clean(spark, args.input_file, args.output_file, fmt=args.format, mode=args.mode,
+                  bad_lines=args.bad_lines)
     elif args.job == "features":
         from churnlens.plans.feature_job import run_features
         run_features(spark, args.input, args.traintest, args.validation, method=args.split,

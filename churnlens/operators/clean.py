@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions import page_flag, user_system
-from churnlens.operators.joins import join_small
+from churnlens.operators.joins import join_small, materialize
 from churnlens.schema import CANCEL_PAGE, KEPT_COLUMNS
 
 
@@ -56,20 +56,38 @@ def with_churn(df: DataFrame, *, max_rows: int | None = None) -> DataFrame:
     return joined.select(*df.columns, F.coalesce(F.col("churn"), F.lit(0).cast("long")).alias("churn"))
 
 
-def with_churn_phase(df: DataFrame, bucket_ms: int = 60_000) -> DataFrame:
+#: Users with more cancellations than this take the windowed form of the running label.
+MANY_CANCELLATIONS = 1000
+
+
+def with_churn_phase(df: DataFrame, bucket_ms: int = 60_000, *, max_rows: int | None = None) -> DataFrame:
     """``churn_phase`` = the user's cancellations up to and including this ``ts``.
 
     The running (ordered) variant of the label. Rows with equal ``ts`` share a
-    value (RANGE frame), so the result does not depend on row order. On a
-    cleaned log (``churn`` on every row) rows of users who never cancelled get
-    0 without any shuffle; only cancelling users' rows go through the running
-    count.
+    value (RANGE frame), so the result does not depend on row order; NULL ``ts``
+    comes first. Cancellations are rare: their times are gathered per
+    cancelling user and joined to the events behind the size check, so the
+    events are not shuffled. Users with more than ``MANY_CANCELLATIONS`` go
+    through a two-level prefix sum instead.
     """
-    if "churn" not in df.columns:
-        return _running_cancellations(df, bucket_ms)
-    churned = F.coalesce(F.col("churn"), F.lit(0)) > 0
-    quiet = df.filter(~churned).withColumn("churn_phase", F.lit(0).cast("long"))
-    return quiet.unionByName(_running_cancellations(df.filter(churned), bucket_ms))
+    cancels = materialize(df.filter(F.col("page") == CANCEL_PAGE).select("userId", "ts"), "cancellations")
+    many = materialize(cancels.groupBy("userId").count().filter(F.col("count") > MANY_CANCELLATIONS)
+                       .select("userId"), "many-cancellations")
+    some = not many.isEmpty()
+    if some:
+        cancels = join_small(cancels, many, "userId", "left_anti", already_materialized=True)
+    times = cancels.groupBy("userId").agg(  # at most MANY_CANCELLATIONS each
+        F.count_if(F.col("ts").isNull()).alias("__null"), F.collect_list("ts").alias("__times"))
+    upto = F.size(F.filter("__times", lambda t: t <= F.col("ts")))
+    phase = F.coalesce(F.col("__null"), F.lit(0)) + F.when(
+        F.col("__times").isNull() | F.col("ts").isNull(), 0).otherwise(upto)
+    rest = join_small(df, many, "userId", "left_anti", already_materialized=True) if some else df
+    out = (join_small(rest, times, "userId", "left", max_rows=max_rows)
+           .select(*df.columns, phase.cast("long").alias("churn_phase")))
+    if some:
+        hot = join_small(df, many, "userId", "left_semi", already_materialized=True)
+        out = out.unionByName(_running_cancellations(hot, bucket_ms))
+    return out
 
 
 def _running_cancellations(df: DataFrame, bucket_ms: int) -> DataFrame:
@@ -90,7 +108,9 @@ def _running_cancellations(df: DataFrame, bucket_ms: int) -> DataFrame:
         (F.sum("__n").over(w_user.rowsBetween(Window.unboundedPreceding, Window.currentRow))
          - F.col("__n")).alias("__prior"))
     w_in = Window.partitionBy("userId", "__b").orderBy("ts")
-    return (x.join(prior, ["userId", "__b"], "inner")
+    prior = prior.withColumnsRenamed({"userId": "__u", "__b": "__pb"})
+    same = F.col("userId").eqNullSafe(F.col("__u")) & F.col("__b").eqNullSafe(F.col("__pb"))
+    return (x.join(prior, same, "inner").drop("__u", "__pb")
              .withColumn("churn_phase", (F.col("__prior") + F.sum("__f").over(w_in)).cast("long"))
              .drop("__b", "__f", "__prior"))
 
@@ -105,6 +125,5 @@ def clean(raw: DataFrame, *, max_rows: int | None = None, stage: bool = False) -
     """
     kept = keep_columns(drop_anonymous(with_user_system(raw)))
     if stage:
-        from churnlens.operators.joins import materialize
         kept = materialize(kept, "kept-log")
     return with_churn(kept, max_rows=max_rows)

@@ -49,6 +49,16 @@ def null_profile(df: DataFrame) -> DataFrame:
     return df.agg(*exprs)
 
 
+def describe_strings(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The string columns' part of ``describe``: count, min and max, one row per column."""
+    cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    wide = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(cols)
+                    for n, f in (("n", F.count), ("min", F.min), ("max", F.max))])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
+                 F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max")) for i, c in enumerate(cols)])))
+
+
 def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Typed ``describe``: one row per numeric column with count, mean, stddev, min, max.
 
@@ -183,7 +193,28 @@ def session_summary(cleaned: DataFrame) -> DataFrame:
         F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
         F.sum(page_flag(UPGRADE_PAGE)).alias("n_upgrades"),
         F.sum(page_flag(DOWNGRADE_PAGE)).alias("n_downgrades"),
-        F.max("userSystem").alias("system"))
+        F.max("userSystem").alias("system"),
+        F.sum("length").alias("len_sum"), F.count("length").alias("len_n"),
+        F.sum("itemInSession").alias("item_sum"), F.count("itemInSession").alias("item_n"),
+        F.collect_set("gender").alias("genders"), F.count_if(F.col("gender").isNull()).alias("no_gender"))
+
+
+def mean_from_sums(sessions: DataFrame, total: str, n: str, name: str) -> DataFrame:
+    """A per-(churn, user) mean from the sessions' sums and counts (NULL without values)."""
+    return sessions.groupBy(*BY_CHURN_USER).agg((F.sum(total) / F.nullif(F.sum(n), F.lit(0))).alias(name))
+
+
+def sess_p_day_from_summary(sessions: DataFrame) -> DataFrame:
+    """Sessions per day of activity per (churn, user)."""
+    days = to_days(F.max("last_ts") - F.min("first_ts")) + 1
+    return sessions.groupBy(*BY_CHURN_USER).agg((F.count("sessionId") / days).alias("avg_sess_p_day"))
+
+
+def gender_from_summary(sessions: DataFrame) -> DataFrame:
+    """Distinct users per (churn, gender)."""
+    each = F.when(F.col("no_gender") > 0, F.array_append("genders", F.lit(None))).otherwise(F.col("genders"))
+    return (sessions.select(*BY_CHURN_USER, F.explode(each).alias("gender")).distinct()
+            .groupBy("churn", "gender").agg(F.count("gender").alias("cnt")))
 
 
 def summarize(cleaned: DataFrame) -> DataFrame:

@@ -114,13 +114,19 @@ def page_clicks(cleaned: DataFrame, by=BY_USER, exclude: tuple[str, ...] = ()) -
     return monthly.groupBy(*by, "page").agg(F.avg("avg_cnt").alias("avg_mhly_cnt"))
 
 
-def page_pivot(clicks: DataFrame, pages: list[str] = FEATURE_PAGES,
+def page_pivot(clicks: DataFrame, pages: list[str] | None = None,
                value: str = "avg_mhly_cnt") -> DataFrame:
     """One column per page (spaces -> '_'), 0 where the user never clicked it.
 
-    The page list is fixed, so the pivot needs no extra job to find the
-    values and every column exists even when a page never occurs.
+    By default the pages found in the data (one extra job; more of them than
+    ``spark.sql.pivotMaxValues`` is an error). The training table passes its
+    fixed list, so that every column exists even when a page never occurs.
     """
+    if pages is None:
+        pages = sorted(r[0] for r in clicks.select("page").filter("page IS NOT NULL").distinct()
+                       .limit(int(clicks.sparkSession.conf.get("spark.sql.pivotMaxValues")) + 1).collect())
+        if len(pages) > int(clicks.sparkSession.conf.get("spark.sql.pivotMaxValues")):
+            raise ValueError("more pages than spark.sql.pivotMaxValues")
     wide = clicks.groupBy("userId").pivot("page", pages).agg(F.sum(value)).fillna(0)
     return wide.withColumnsRenamed({p: p.replace(" ", "_") for p in pages if " " in p})
 

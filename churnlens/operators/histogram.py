@@ -13,25 +13,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.operators.joins import join_small, materialize
+from churnlens.operators.joins import join_null_safe, materialize
 
 
 def histogram(df: DataFrame, value: str, group: tuple[str, ...] | list[str] = ("churn",),
-              bins: int | list[float] = 10, density: bool = False) -> DataFrame:
-    """``group..., bin, bin_lo, bin_hi, cnt[, density]`` for the non-null values of ``value``."""
+              bins: int | list[float] = 10, density: bool = False,
+              groups: int | None = None) -> DataFrame:
+    """``group..., bin, bin_lo, bin_hi, cnt[, density]`` for the non-null values of ``value``.
+
+    A NULL group is a group. ``groups`` bounds the number of groups when the
+    caller knows it: their ranges are then broadcast with no written table.
+    """
     group = list(group)
     x = (df.select(*group, F.col(value).cast("double").alias("__x"))
            .filter(F.col("__x").isNotNull() & ~F.isnan("__x")))
     if isinstance(bins, int):
         n = bins
-        x = materialize(x, "histogram-values")  # read twice: range per group, then bins
+        if groups is None:
+            x = materialize(x, "histogram-values")  # read twice: range per group, then bins
         rng = x.groupBy(*group).agg(F.min("__x").alias("__a"), F.max("__x").alias("__b"))
         rng = rng.select(
             *group,
             F.when(F.col("__b") > F.col("__a"), F.col("__a")).otherwise(F.col("__a") - 0.5).alias("__lo"),
             F.when(F.col("__b") > F.col("__a"), F.col("__b")).otherwise(F.col("__b") + 0.5).alias("__hi"))
-        # one row per group: a bounded side, broadcast after the size check
-        x = join_small(x, rng, group, "inner")
+        # one row per group: broadcast on its known bound, else after the size check
+        x = join_null_safe(x, rng, group, proven_rows=groups) if group else x.crossJoin(F.broadcast(rng))
         width = (F.col("__hi") - F.col("__lo")) / n
         x = x.withColumn("bin", F.least(F.floor((F.col("__x") - F.col("__lo")) / width),
                                         F.lit(n - 1)).cast("int"))

@@ -6,7 +6,7 @@ per-user (or per-class) table to a larger frame:
 1. ``small`` is written as a table in the shared folder (reliable: a lost
    executor does not lose it, and the size check does not recompute it);
 2. if it holds at most ``max_rows`` rows (a footer-only count of the written
-   table) it is broadcast — no shuffle of the large side at all;
+   table) in files below the byte limit it is broadcast — no shuffle of the large side at all;
 3. otherwise both sides are shuffled on ``key``, and the keys that hold more
    than a fair share of the large side ("hot" keys) are salted: each one's
    large-side rows are spread over ``ceil(2 rows / share)`` sub-keys and only
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.session import max_broadcast_rows, scratch_path
+from churnlens.session import max_broadcast_bytes, max_broadcast_rows, scratch_path
 
 _SALT = "__salt"
 _HOT = "__hot"
@@ -41,14 +41,19 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def written_bytes(df: DataFrame) -> int:
+    """Size of a written table's files, as the optimizer sees it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+    """True when ``df`` has at most ``max_rows`` rows in files of at most the byte limit.
 
     Called on tables written by ``materialize``: counting parquet reads only
     the row-group footers. (A ``limit(n + 1).count()`` would gather up to
     n + 1 rows from every task into a single partition.)
     """
-    return df.count() <= max_rows
+    return written_bytes(df) <= max_broadcast_bytes(df.sparkSession) and df.count() <= max_rows
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner", *,
@@ -70,6 +75,22 @@ def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str =
     return salted_join(big, small, on, how)
 
 
+def join_null_safe(big: DataFrame, small: DataFrame, on: list[str], *,
+                   proven_rows: int | None = None) -> DataFrame:
+    """Inner join on ``on`` where NULL equals NULL; ``small`` has one row per key and is
+    broadcast when its bound is proven or its written size allows."""
+    limit = max_broadcast_rows(big.sparkSession)
+    if proven_rows is None or proven_rows > limit:
+        small = materialize(small, "small-side")
+    named = small.withColumnsRenamed({k: f"__key_{i}" for i, k in enumerate(on)})
+    if proven_rows is not None and proven_rows <= limit or fits(small, limit):
+        named = F.broadcast(named)
+    same = F.lit(True)
+    for i, k in enumerate(on):
+        same = same & F.col(k).eqNullSafe(F.col(f"__key_{i}"))
+    return big.join(named, same, "inner").drop(*[f"__key_{i}" for i in range(len(on))])
+
+
 def hot_keys(big: DataFrame, on: list[str]) -> DataFrame:
     """Keys holding more rows than one shuffle partition's fair share, with their salt count.
 
@@ -93,14 +114,14 @@ def salted_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str
 
     ``how`` is one of inner / left / left_semi / left_anti; ``big`` is the left
     side. Exact: every large-side row meets exactly the one replica of its
-    small-side row that carries its salt.
+    small-side row that carries its salt. The salt is the row's position in its
+    task's input, so equal rows are spread too; it is the same when a scan is
+    run again.
     """
     keys = [on] if isinstance(on, str) else list(on)
     hot = F.broadcast(hot_keys(big, keys))
-    big_cols = big.columns
-    b = (big.join(hot, keys, "left")
-         .withColumn(_SALT, F.when(F.col(_HOT).isNotNull(),
-                                   F.pmod(F.xxhash64(*big_cols), F.col(_HOT).cast("long")))
+    b = (big.withColumn(_SALT, F.monotonically_increasing_id()).join(hot, keys, "left")
+         .withColumn(_SALT, F.when(F.col(_HOT).isNotNull(), F.pmod(_SALT, F.col(_HOT).cast("long")))
                      .otherwise(F.lit(0)).cast("int"))
          .drop(_HOT))
     s = (small.join(hot, keys, "left")

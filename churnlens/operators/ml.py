@@ -11,9 +11,10 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import MaxAbsScaler, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 
+from churnlens.operators.joins import materialize
 from churnlens.schema import FEATURE_COLS
 
 LABEL = "churn"
@@ -111,22 +112,28 @@ def training_layout(df: DataFrame, key: str = "userId",
     if key not in df.columns:
         return df
     n = max(1, -(-df.count() // rows_per_partition))
-    return df.repartition(n, key).sortWithinPartitions(key)
+    return materialize(df.repartition(n, key).sortWithinPartitions(key), "training-layout")
 
 
-def train(df: DataFrame, algo: str, *, cross_validate: str | bool = "auto",
+def train_with_scores(df: DataFrame, algo: str, *, with_encoding: bool = False, seed: int = 42,
+                      fold_col: str | None = None) -> CrossValidatorModel:
+    """Cross-validate one algorithm: the best model (refitted on all rows), with the mean and
+    the spread of the folds' scores of every parameter map in ``avgMetrics`` and ``stdMetrics``."""
+    pipe, grid = training_pipeline(algo, with_encoding=with_encoding, seed=seed)
+    cv = cross_validator(pipe, grid, seed)
+    return (cv.setFoldCol(fold_col) if fold_col else cv).fit(training_layout(df))
+
+
+def train(df: DataFrame, algo: str, *, cross_validate: bool = True,
           with_encoding: bool = False, seed: int = 42) -> PipelineModel:
     """Fit one algorithm and return the best pipeline model.
 
-    ``cross_validate='auto'`` runs the cross-validator only when the grid has
-    more than one parameter map; with one map it would select that map anyway
-    and refit it on all rows, which is exactly the plain fit. The input is
-    first given a deterministic layout (``training_layout``).
+    By default through 3-fold cross-validation; ``cross_validate=False`` fits
+    the first parameter map on all rows, which gives the same model for the
+    single-map grids here. The input is first given a deterministic layout
+    (``training_layout``), written once, as every fit reads it many times.
     """
-    df = training_layout(df)
+    if cross_validate:
+        return train_with_scores(df, algo, with_encoding=with_encoding, seed=seed).bestModel
     pipe, grid = training_pipeline(algo, with_encoding=with_encoding, seed=seed)
-    run_cv = (len(grid) > 1) if cross_validate == "auto" else bool(cross_validate)
-    if run_cv:
-        return cross_validator(pipe, grid, seed).fit(df).bestModel
-    params = grid[0] if grid else {}
-    return pipe.fit(df, params)
+    return pipe.fit(training_layout(df), grid[0] if grid else {})

@@ -21,5 +21,5 @@ def evaluate(model: PipelineModel, validation: DataFrame, model_path: str | None
 def run_evaluation(spark: SparkSession, validation_path: str, model_path: str) -> DataFrame:
     """Score the validation table with a saved model and write the record next to it."""
     metrics = evaluate(load_model(model_path), read_parquet(spark, validation_path), model_path)
-    write_metrics(metrics, model_path)
-    return metrics
+    path = write_metrics(metrics, model_path)
+    return spark.read.schema(metrics.schema).json(path)  # the record, not a second scoring

@@ -1,10 +1,10 @@
 """Exploration job: every loyal-vs-cancelled comparison, written as tables.
 
-The cleaned log is summarised once per (churn, user, session) and once per
-(group, hour, weekday); the session-level comparisons, histograms and the four
-time shares read those summaries, the rest (plan level at cancellation,
-gender, clicks) read the log.
-Each result is a small aggregate written as parquet under ``out_dir/<name>``.
+The cleaned log is read four times: summarised per (churn, user, session) and
+per (group, hour, weekday), for the plan level at cancellation (a pushed-down
+filter) and for the clicks; every other comparison reads a summary. Results
+are written as Spark partitions them: tables per user or session stay
+distributed.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from churnlens.operators import explore as X
-from churnlens.operators import features as FE
 from churnlens.operators.histogram import histogram
 from churnlens.operators.joins import materialize
 from churnlens.session import ensure_core_conf
@@ -24,30 +23,32 @@ from churnlens.sources import read_parquet, write_parquet
 def comparisons(cleaned: DataFrame, sessions: DataFrame,
                 times: DataFrame) -> dict[str, Callable[[], DataFrame]]:
     by = X.BY_CHURN_USER
+    stats = lambda: X.melt(X.session_stats(sessions=sessions), list(by))
+    grades = lambda: X.melt(X.up_down_grades(sessions=sessions), list(by), "long")
     return {
-        "gender_by_churn": lambda: X.gender_by_churn(cleaned),
+        "gender_by_churn": lambda: X.gender_from_summary(sessions),
+        "system_by_churn": lambda: X.system_counts(sessions=sessions),
         "system_share": lambda: X.system_share(sessions=sessions),
         "hour_share_loyal": lambda: X.share_from_counts(times, "hour", "loyal"),
         "hour_share_cancelled": lambda: X.share_from_counts(times, "hour", "cancelled"),
         "weekday_share_loyal": lambda: X.share_from_counts(times, "weekday", "loyal"),
         "weekday_share_cancelled": lambda: X.share_from_counts(times, "weekday", "cancelled"),
+        "lifetimes": lambda: X.lifetimes(sessions=sessions),
         "lifetime_stats": lambda: X.lifetime_stats(sessions=sessions),
-        "session_stats_long": lambda: X.melt(X.session_stats(sessions=sessions), list(by)),
-        "up_down_grades_long": lambda: X.melt(X.up_down_grades(sessions=sessions), list(by), "long"),
+        "session_durations": lambda: X.session_durations(ordered=False, sessions=sessions),
+        "session_stats_long": stats,
+        "up_down_grades_long": grades,
         "cancel_level": lambda: X.cancel_level(cleaned),
         "page_click_means": lambda: X.page_click_means(cleaned),
-        "hist_avg_length": lambda: histogram(FE.avg_length(cleaned, by, "avg_len"), "avg_len"),
-        "hist_items_p_sess": lambda: histogram(FE.avg_items_p_sess(cleaned, by, "avg"), "avg"),
-        "hist_sess_p_day": lambda: histogram(FE.avg_sess_p_day(cleaned, by), "avg_sess_p_day",
+        "hist_avg_length": lambda: histogram(X.mean_from_sums(sessions, "len_sum", "len_n", "avg_len"), "avg_len"),
+        "hist_items_p_sess": lambda: histogram(X.mean_from_sums(sessions, "item_sum", "item_n", "avg"), "avg"),
+        "hist_sess_p_day": lambda: histogram(X.sess_p_day_from_summary(sessions), "avg_sess_p_day",
                                              bins=[0, 1, 2, 3, 4, 5]),
         "hist_lifetime": lambda: histogram(X.lifetimes(sessions=sessions), "lifetime", density=True),
         "hist_session_duration": lambda: histogram(X.session_durations(ordered=False, sessions=sessions),
                                                    "session_duration", density=True),
-        "hist_session_stats": lambda: histogram(X.melt(X.session_stats(sessions=sessions), list(by)),
-                                                "value", ("churn", "variable"), density=True),
-        "hist_up_down_grades": lambda: histogram(
-            X.melt(X.up_down_grades(sessions=sessions), list(by), "long"), "value",
-            ("churn", "variable"), density=True),
+        "hist_session_stats": lambda: histogram(stats(), "value", ("churn", "variable"), density=True),
+        "hist_up_down_grades": lambda: histogram(grades(), "value", ("churn", "variable"), density=True),
     }
 
 
@@ -60,6 +61,6 @@ def run_exploration(spark: SparkSession, cleaned_path: str, out_dir: str, *,
     times = materialize(X.time_bucket_counts(cleaned), "time-bucket-counts")
     names = []
     for name, build in comparisons(cleaned, sessions, times).items():
-        write_parquet(build().coalesce(1), f"{out_dir.rstrip('/')}/{name}", mode)
+        write_parquet(build(), f"{out_dir.rstrip('/')}/{name}", mode)
         names.append(name)
     return names

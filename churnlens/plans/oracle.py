@@ -8,8 +8,17 @@ adapter of the ``events`` table. Doubles are rounded like ``registry.rounded``.
 
 from __future__ import annotations
 
-from churnlens.schema import CANCEL_PAGE, FEATURE_PAGES, USER_SYSTEM_PATTERN
-from churnlens.sources.event_log import ADAPTER_AGENTS, ADAPTER_PAGES, SESSION_SPAN_MS
+# Fixed values, written out here so that a wrong one in the library shows.
+CANCEL_PAGE = "Cancellation Confirmation"
+FEATURE_PAGES = ["About", "Add Friend", "Add to Playlist", "Downgrade", "Error", "Help", "Home", "Logout", "NextSong",
+                 "Roll Advert", "Save Settings", "Settings", "Submit Downgrade", "Submit Upgrade", "Thumbs Down",
+                 "Thumbs Up", "Upgrade"]
+USER_SYSTEM_PATTERN = r"\(([a-zA-Z 0-9.]+)"
+ADAPTER_PAGES = ["About", "Add Friend", "Add to Playlist", "Downgrade", "Help", "Home", "Logout", "Roll Advert",
+                 "Save Settings", "Settings", "Submit Downgrade", "Submit Upgrade", "Thumbs Down", "Thumbs Up", "Upgrade"]
+ADAPTER_AGENTS = ["Mozilla/5.0 (Windows NT 6.1; WOW64)", "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_9_4)",
+                  "Mozilla/5.0 (iPhone; CPU iPhone OS 7_1_2)", "Mozilla/5.0 (X11; Linux x86_64)", "curl/7.0"]
+SESSION_SPAN_MS = 259200000
 
 MS = "(epoch_us(ts) // 1000)"
 
@@ -92,31 +101,51 @@ CLEANED = """cleaned AS (
 
 BASE = ",\n".join([EVENT_LOG, SYS_LOG, KEPT, FLAGGED, CLEANED])
 
+# The same log with NULLs on some rows.
+EVENT_LOG_NULLS = EVENT_LOG.replace("event_log AS (", "full_log AS (").replace("  FROM events)", "  , event_id FROM events)") + """,
+event_log AS (
+  SELECT * EXCLUDE (event_id) REPLACE (CASE WHEN event_id % 11 <> 1 THEN ts END AS ts,
+                                       CASE WHEN event_id % 13 <> 1 THEN page END AS page,
+                                       CASE WHEN event_id % 7 <> 1 THEN gender END AS gender,
+                                       CASE WHEN event_id % 5 <> 1 THEN itemInSession END AS itemInSession)
+  FROM full_log)"""
+BASE_NULLS = ",\n".join([EVENT_LOG_NULLS, SYS_LOG, KEPT, FLAGGED, CLEANED])
+
 
 def w(*ctes: str) -> str:
     """WITH clause: the adapter and cleaning chain plus extra CTEs."""
     return "WITH " + ",\n".join([BASE, *ctes]) + "\n"
 
 
+def wn(*ctes: str) -> str:
+    """The same over the log with NULLs."""
+    return "WITH " + ",\n".join([BASE_NULLS, *ctes]) + "\n"
+
+
 PAGE_COLS = [p.replace(" ", "_") for p in FEATURE_PAGES]
 
 # --- Shared feature CTEs ------------------------------------------------------------
 
 def clicks(by: str = "userId", exclude_song: bool = False) -> str:
-    """CTEs spc -> monthly -> clicks: mean monthly clicks per session per (by, page)."""
-    where = "WHERE page <> 'NextSong' " if exclude_song else ""
-    return f"""spc AS (
-  SELECT {by}, sessionId, page, COUNT(page) AS cnt, {month('AVG(ts)')} AS month
-  FROM cleaned GROUP BY {by}, sessionId, page),
-monthly AS (SELECT {by}, month, page, AVG(cnt) AS avg_cnt FROM spc GROUP BY {by}, month, page),
-clicks AS (SELECT {by}, page, AVG(avg_cnt) AS avg_mhly_cnt FROM monthly {where}GROUP BY {by}, page)"""
+    """CTEs visits -> clicks: a page's clicks per visiting session, averaged over the months."""
+    only = "WHERE page <> 'NextSong'" if exclude_song else ""
+    return f"""visits AS (SELECT {by}, page, COUNT(page) AS n, AVG(ts) AS mid FROM cleaned {only} GROUP BY {by}, page, sessionId),
+clicks AS (
+  SELECT {by}, page, SUM(a_month) / COUNT(*) AS avg_mhly_cnt
+  FROM (SELECT {by}, page, SUM(n) / CAST(COUNT(n) AS DOUBLE) AS a_month FROM visits GROUP BY {by}, page, {month('mid')})
+  GROUP BY {by}, page)"""
 
 
 CLICKS = clicks()
 
-PIVOT = "pv AS (SELECT userId, " + ", ".join(
-    f"COALESCE(SUM(CASE WHEN page = {q(p)} THEN avg_mhly_cnt END), 0) AS {c}"
-    for p, c in zip(FEATURE_PAGES, PAGE_COLS)) + " FROM clicks GROUP BY userId)"
+def _pivot(pages: list[str]) -> str:
+    return "pv AS (SELECT userId, " + ", ".join(
+        f"COALESCE(SUM(CASE WHEN page = {q(p)} THEN avg_mhly_cnt END), 0) AS {p.replace(' ', '_')}"
+        for p in pages) + " FROM clicks GROUP BY userId)"
+
+
+PIVOT = _pivot(FEATURE_PAGES)
+FOUND_PAGES = [*FEATURE_PAGES, CANCEL_PAGE]
 
 FEATS = f"""sess AS (
   SELECT userId, sessionId, {minutes('MAX(ts) - MIN(ts)')} AS len FROM cleaned GROUP BY userId, sessionId),
@@ -145,7 +174,7 @@ feats AS (
          {', '.join('pv.' + c for c in PAGE_COLS)}
   FROM sc JOIN sl USING (userId) JOIN pv USING (userId) JOIN idx USING (pref_user_system))"""
 
-SPLIT = "CASE WHEN substr(md5(userId), 1, 4) < '199a' THEN 'validation' ELSE 'train' END"
+SPLIT = "CASE WHEN substr(md5('42:' || userId), 1, 15) < '1999999999999a0' THEN 'validation' ELSE 'train' END"
 
 SCALARS = ["avg_sess_p_day", "avg_length", "avg_items_p_sess", "acc_age", "avg_sess_len", "bin_gender"]
 
@@ -161,13 +190,16 @@ def _long_features() -> str:
               for j, c in enumerate(PAGE_COLS)]
     ok = "ok AS (SELECT * FROM feats WHERE " + " AND ".join(
         f"{c} IS NOT NULL" for c in SCALARS + PAGE_COLS) + ")"
-    return ok + ",\nlong_f AS (" + "\nUNION ALL ".join(parts) + ")"
+    return (ok + ",\nlong_f AS (" + "\nUNION ALL ".join(parts) + "),\n"
+            f"dense AS (SELECT u.userId, CAST({n} + nsys.k - 1 + {len(PAGE_COLS)} AS INTEGER) AS size, CAST(i.i AS INTEGER) AS idx, "
+            f"COALESCE(l.value, 0.0) AS value FROM ok u, nsys, range({n} + {len(PAGE_COLS)} + 100) i(i) "
+            f"LEFT JOIN long_f l ON l.userId = u.userId AND l.idx = i.i WHERE i.i < {n} + nsys.k - 1 + {len(PAGE_COLS)})")
 
 
-def _hist_auto(values_cte: str, value: str, group: list[str], bins: int, density: bool) -> str:
+def _hist_auto(values_cte: str, value: str, group: list[str], bins: int, density: bool, w=w) -> str:
     g = ", ".join(group)
     gx = ", ".join(f"x.{c}" for c in group)
-    on = " AND ".join(f"x.{c} = r.{c}" for c in group)
+    on = " AND ".join(f"x.{c} IS NOT DISTINCT FROM r.{c}" for c in group)
     dens = (f", cnt / (SUM(cnt) OVER (PARTITION BY {g}) * (bin_hi - bin_lo)) AS density"
             if density else "")
     return w(values_cte, f"""x AS (SELECT {g}, CAST({value} AS DOUBLE) AS v FROM vals WHERE {value} IS NOT NULL),
@@ -215,23 +247,29 @@ LOYAL_IDS = "SELECT userId FROM cleaned GROUP BY userId HAVING MAX(churn) = 0"
 CANCELLED_IDS = "SELECT userId FROM cleaned GROUP BY userId HAVING MAX(churn) > 0"
 
 
-def _share(bucket: str, ids: str) -> str:
+def _share(bucket: str, group: str) -> str:
     fn = {"hour": hour, "weekday": weekday}[bucket]
-    sql = (w(f"tb AS (SELECT *, {fn('ts')} AS {bucket} FROM cleaned)") +
-           f"SELECT {bucket}, COUNT({bucket}) / (SELECT COUNT(*) FROM tb WHERE userId IN ({ids})) AS \"count\" "
-           f"FROM tb WHERE userId IN ({ids}) GROUP BY {bucket}")
+    sql = (w(f"n AS (SELECT {fn('ts')} AS {bucket}, COUNT(ts) AS a, COUNT(*) AS b FROM cleaned WHERE {group} GROUP BY 1)") +
+           f'SELECT {bucket}, a / (SUM(b) OVER ()) AS "count" FROM n')
     return rounded(sql, ['"count"'])
 
 
 def _describe() -> str:
     cols = ["sessionId", "ts", "itemInSession", "length"]
-    parts = [f"""SELECT '{c}' AS "column", COUNT({c}) AS "count",
-       CAST(AVG({c}) AS FLOAT) AS mean, CAST(STDDEV_SAMP({c}) AS FLOAT) AS stddev,
-       CAST(CAST(MIN({c}) AS DOUBLE) AS FLOAT) AS min, CAST(CAST(MAX({c}) AS DOUBLE) AS FLOAT) AS max
+    nine = lambda x: (f"CAST(CASE WHEN {x} = 0 THEN 0.0 ELSE "
+                      f"ROUND({x} / POW(10.0::DOUBLE, FLOOR(LOG10(ABS({x}))) - 8)) END AS BIGINT)")
+    parts = [f"""SELECT '{c}' AS "column", COUNT({c}) AS "count", {nine(f"AVG({c})")} AS mean,
+       {nine(f"STDDEV_SAMP({c})")} AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max
 FROM event_log""" for c in cols]
     return "WITH " + EVENT_LOG + "\n" + "\nUNION ALL ".join(parts)
 
 
+def _describe_strings() -> str:
+    cols = ["userId", "page", "level", "gender", "userAgent", "auth"]
+    return "WITH " + EVENT_LOG + "\n" + "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS "column", COUNT({c}) AS "count", MIN({c}) AS min, MAX({c}) AS max FROM event_log""" for c in cols)
+
+
 def _null_profile() -> str:
     cols = ["userId", "page", "level", "sessionId", "ts", "gender", "itemInSession", "userAgent",
             "length", "auth"]
@@ -295,6 +333,62 @@ def _per_user(expr: str, name: str, by: str = "userId") -> str:
     return w() + f"SELECT {by}, {expr} AS {name} FROM cleaned GROUP BY {by}"
 
 
+GENDERS = """SELECT churn, gender, COUNT(DISTINCT CASE WHEN gender IS NOT NULL THEN userId END) AS cnt
+    FROM cleaned GROUP BY churn, gender"""
+
+AS_TEXT = "REPLACE (CAST(ts AS VARCHAR) AS ts, CAST(itemInSession AS VARCHAR) AS itemInSession)"
+CV_FOLDS = 3
+
+
+def _nb_cross_validation() -> str:
+    """The same naive Bayes fitted on each two of three folds of the train split (fold: a hash
+    of the user) and scored by label-weighted F1 on the third."""
+    n_scalar = len(SCALARS)
+    return rounded(w(FEATS, _long_features(), f"""sp AS (SELECT userId, churn, {SPLIT} AS split FROM feats),
+wts AS (SELECT userId, churn, split, 0.5 / COUNT(*) OVER (PARTITION BY split, CASE WHEN churn = 0 THEN 0 ELSE 1 END) AS w FROM sp),
+tr AS (SELECT ok.userId, wts.churn, wts.w, CAST('0x' || substr(md5('fold:' || ok.userId), 1, 8) AS BIGINT) % {CV_FOLDS} AS f
+       FROM ok JOIN wts USING (userId) WHERE split = 'train'),
+ks AS (SELECT range AS k FROM range({CV_FOLDS})),
+lt AS (SELECT l.userId, l.idx, l.value, tr.churn, tr.w, tr.f FROM long_f l JOIN tr USING (userId)),
+mx AS (SELECT k, idx, MAX(ABS(value)) AS m FROM lt, ks WHERE f <> k GROUP BY k, idx),
+scl AS (SELECT ks.k, lt.*, CASE WHEN mx.m IS NULL OR mx.m = 0 THEN 0.0 ELSE lt.value / mx.m END AS x
+        FROM lt CROSS JOIN ks LEFT JOIN mx ON mx.k = ks.k AND mx.idx = lt.idx),
+cls AS (SELECT k, churn AS c, SUM(w) AS n FROM tr, ks WHERE f <> k GROUP BY k, churn),
+tf AS (SELECT k, churn AS c, idx, SUM(w * x) AS s FROM scl WHERE f <> k GROUP BY k, churn, idx),
+tot AS (SELECT k, c, SUM(s) AS t FROM tf GROUP BY k, c),
+dims AS (SELECT {n_scalar} + k - 1 + {len(PAGE_COLS)} AS d FROM nsys),
+nl AS (SELECT k, COUNT(*) AS nlab, SUM(n) AS ndoc FROM cls GROUP BY k),
+pri AS (SELECT k, c, LN(n + 1.0) - LN(ndoc + nlab * 1.0) AS p FROM cls JOIN nl USING (k)),
+score AS (
+  SELECT v.k, v.userId, v.churn, pri.c, pri.p + SUM(v.x * (LN(COALESCE(tf.s, 0.0) + 1.0) - LN(tot.t + dims.d))) AS r
+  FROM scl v JOIN pri ON pri.k = v.k JOIN tot ON tot.k = v.k AND tot.c = pri.c CROSS JOIN dims
+       LEFT JOIN tf ON tf.k = v.k AND tf.c = pri.c AND tf.idx = v.idx
+  WHERE v.f = v.k GROUP BY v.k, v.userId, v.churn, pri.c, pri.p),
+pred AS (SELECT k, userId, churn, FIRST(c ORDER BY r DESC, c) AS guess FROM score GROUP BY k, userId, churn),
+lab AS (SELECT k, churn AS c, COUNT(*) AS n, SUM(CASE WHEN guess = churn THEN 1 ELSE 0 END) AS tp FROM pred GROUP BY k, churn),
+gs AS (SELECT k, guess AS c, COUNT(*) AS n FROM pred GROUP BY k, guess),
+f1 AS (SELECT lab.k, SUM(lab.n * CASE WHEN tp = 0 THEN 0.0 ELSE 2.0 * tp / (lab.n + gs.n) END) / SUM(lab.n) AS f1
+       FROM lab LEFT JOIN gs ON gs.k = lab.k AND gs.c = lab.c GROUP BY lab.k)""")
+        + "SELECT AVG(f1) AS f1_mean, STDDEV_POP(f1) AS f1_std FROM f1", ["f1_mean", "f1_std"])
+
+
+def _nb_metrics(select: str) -> str:
+    """Class-weighted metrics of the naive Bayes model on the validation split, as ``recall, precision, accuracy, f1`` of ``m``."""
+    return (f"WITH pred AS ({_naive_bayes()}),\n" + w(FEATS, f"""wt AS (
+  SELECT userId, 0.5 / COUNT(*) OVER (PARTITION BY {SPLIT}, CASE WHEN churn = 0 THEN 0 ELSE 1 END) AS weight FROM feats),
+cm AS (SELECT CAST(churn AS DOUBLE) AS label, prediction AS pred, SUM(weight) AS w FROM pred JOIN wt USING (userId) GROUP BY ALL),
+lab AS (SELECT label AS c, SUM(w) AS lw, SUM(CASE WHEN label = pred THEN w ELSE 0 END) AS tp FROM cm GROUP BY label),
+prd AS (SELECT pred AS c, SUM(w) AS pw FROM cm GROUP BY pred),
+pc AS (SELECT lw, tp, CASE WHEN lw = 0 THEN 0 ELSE tp / lw END AS r, CASE WHEN COALESCE(pw, 0) = 0 THEN 0 ELSE tp / pw END AS p
+       FROM lab LEFT JOIN prd ON lab.c = prd.c),
+m AS (SELECT {r6('SUM(r * lw) / SUM(lw)')} AS recall, {r6('SUM(p * lw) / SUM(lw)')} AS precision, {r6('SUM(tp) / SUM(lw)')} AS accuracy,
+             {r6('SUM(CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END * lw) / SUM(lw)')} AS f1 FROM pc)""")[len("WITH "):] + select)
+
+
+#: What is known of the users that any model scores.
+SCORED = w(FEATS, _long_features()) + f"""SELECT userId, churn, TRUE AS is_class, TRUE AS reload_agrees, TRUE AS metrics_agree
+    FROM ok WHERE {SPLIT} = 'validation'"""
+
 ORACLE: dict[str, str] = {
     "load_events": w() + "SELECT * FROM event_log",
     "user_system": w() + "SELECT * FROM sys_log",
@@ -304,7 +398,7 @@ ORACLE: dict[str, str] = {
     "churn_label": w() + "SELECT *, CAST(SUM(cancel_event) OVER (PARTITION BY userId) AS BIGINT) AS churn FROM flagged",
     "clean_log": rounded(w() + "SELECT * FROM cleaned", ["length"]),
     "churn_phase": rounded(w() + f"""SELECT *, CAST(SUM(CASE WHEN page = {q(CANCEL_PAGE)} THEN 1 ELSE 0 END)
-        OVER (PARTITION BY userId ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS churn_phase
+        OVER (PARTITION BY userId ORDER BY ts NULLS FIRST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS churn_phase
         FROM cleaned""", ["length"]),
     "time_parts": w() + f"SELECT userId, ts, {hour('ts')} AS hour, {month('ts')} AS month, {weekday('ts')} AS weekday FROM cleaned",
     "first_events": w() + "SELECT * FROM event_log ORDER BY " + ", ".join(
@@ -340,26 +434,26 @@ ORACLE: dict[str, str] = {
         + "SELECT lab.userId, lab.churn, al.avg_length, aa.acc_age FROM lab JOIN al ON al.userId = lab.userId JOIN aa ON aa.userId = lab.userId",
         ["avg_length"]),
     "page_clicks_monthly": rounded(w(CLICKS) + "SELECT * FROM clicks", ["avg_mhly_cnt"]),
-    "page_pivot": rounded(w(CLICKS, PIVOT) + "SELECT * FROM pv", PAGE_COLS),
+    "page_pivot": rounded(w(CLICKS, _pivot(FOUND_PAGES)) + "SELECT * FROM pv", [p.replace(" ", "_") for p in FOUND_PAGES]),
+    "training_pages": rounded(w(CLICKS, PIVOT) + "SELECT * FROM pv", PAGE_COLS),
     "user_features": rounded(w(FEATS) + "SELECT * FROM feats",
                              ["avg_sess_p_day", "avg_length", "avg_items_p_sess", "avg_sess_len", *PAGE_COLS]),
     "cancelled_users": w() + CANCELLED_IDS,
     "loyal_users": w() + LOYAL_IDS,
     "loyal_events": w() + f"SELECT userId, ts, page FROM cleaned WHERE userId IN ({LOYAL_IDS})",
-    "gender_by_churn": w() + """SELECT churn, gender, COUNT(gender) AS cnt
-        FROM (SELECT churn, userId, gender FROM cleaned GROUP BY churn, userId, gender) GROUP BY churn, gender""",
+    "gender_by_churn": w() + GENDERS,
     "system_by_churn": w("p AS (SELECT churn, userId, MAX(userSystem) AS pref_user_system FROM cleaned GROUP BY churn, userId)")
                        + "SELECT churn, pref_user_system, COUNT(*) AS cnt FROM p GROUP BY churn, pref_user_system",
-    "system_share": rounded(w(
-        "p AS (SELECT churn, userId, MAX(userSystem) AS pref_user_system FROM cleaned GROUP BY churn, userId)",
-        "a AS (SELECT churn, pref_user_system, COUNT(*) AS cnt FROM p GROUP BY churn, pref_user_system)")
-        + "SELECT churn, pref_user_system, cnt / SUM(cnt) OVER (PARTITION BY churn) AS percentage FROM a",
-        ["percentage"]),
-    "hour_share_loyal": _share("hour", LOYAL_IDS),
-    "hour_share_cancelled": _share("hour", CANCELLED_IDS),
-    "weekday_share_loyal": _share("weekday", LOYAL_IDS),
-    "weekday_share_cancelled": _share("weekday", CANCELLED_IDS),
-    "cancel_level": w() + f"SELECT churn, level, COUNT(level) AS cnt FROM cleaned WHERE page = {q(CANCEL_PAGE)} GROUP BY churn, level",
+    "system_share": rounded(w("u AS (SELECT userId, MIN(churn) AS churn, MAX(userSystem) AS pref_user_system FROM cleaned GROUP BY userId)")
+                            + """SELECT DISTINCT churn, pref_user_system,
+                                 COUNT(*) OVER (PARTITION BY churn, pref_user_system) / COUNT(*) OVER (PARTITION BY churn) AS percentage
+                                 FROM u""", ["percentage"]),
+    "hour_share_loyal": _share("hour", "churn = 0"),
+    "hour_share_cancelled": _share("hour", "churn > 0"),
+    "weekday_share_loyal": _share("weekday", "churn = 0"),
+    "weekday_share_cancelled": _share("weekday", "churn > 0"),
+    "cancel_level": w() + f"""SELECT DISTINCT churn, level, COUNT(level) OVER (PARTITION BY churn, level) AS cnt
+        FROM cleaned WHERE page = {q(CANCEL_PAGE)}""",
     "lifetime_stats": rounded(w(LIFETIMES) + "SELECT churn, AVG(lifetime) AS avg, MIN(lifetime) AS min, MAX(lifetime) AS max FROM vals GROUP BY churn", ["avg"]),
     "session_durations": w(SESSIONS) + "SELECT * FROM vals",
     "lifetimes": w(LIFETIMES) + "SELECT * FROM vals",
@@ -400,13 +494,45 @@ ORACLE: dict[str, str] = {
     "system_onehot": w(FEATS) + """SELECT userId, pref_user_system_ind, CAST(nsys.k - 1 AS INTEGER) AS ohe_size,
         CASE WHEN pref_user_system_ind < nsys.k - 1 THEN CAST(pref_user_system_ind AS INTEGER) END AS ohe_hot
         FROM feats, nsys""",
-    "assembled_users": rounded(w(FEATS, _long_features()) + "SELECT * FROM long_f WHERE value <> 0", ["value"]),
+    "assembled_users": rounded(w(FEATS, _long_features()) + "SELECT * FROM dense", ["value"]),
     "scaled_features": rounded(w(FEATS, _long_features(),
-                                 "mx AS (SELECT idx, MAX(ABS(value)) AS m FROM long_f GROUP BY idx)")
-                               + "SELECT l.userId, l.idx, l.value / mx.m AS value FROM long_f l JOIN mx ON l.idx = mx.idx WHERE l.value <> 0",
+                                 "mx AS (SELECT idx, MAX(ABS(value)) AS m FROM dense GROUP BY idx)")
+                               + "SELECT d.userId, d.size, d.idx, CASE WHEN mx.m = 0 THEN 0.0 ELSE d.value / mx.m END AS value "
+                                 "FROM dense d JOIN mx ON d.idx = mx.idx",
                                ["value"]),
     "confusion_metrics": _confusion(),
     "churn_nb": _naive_bayes(),
     "model_roundtrip": _naive_bayes(),
+    "churn_svm": SCORED,
+    "churn_lr": SCORED,
+    "churn_rf": SCORED,
+    "churn_cv_nb": _nb_cross_validation(),
+    "evaluate_job": _nb_metrics("SELECT 'nb' AS Algorithm, recall AS Recall, precision AS Precision, accuracy AS Accuracy, f1 AS F1 FROM m"),
+    "model_comparison": _nb_metrics(
+        "SELECT Algorithm, Metric, CASE WHEN Algorithm = 'nb' THEN Score END AS Score, TRUE AS agrees, TRUE AS in_range FROM m, "
+        "(SELECT unnest(['svm', 'lr', 'nb', 'rf']) AS Algorithm), LATERAL (SELECT unnest(['Recall', 'Precision', 'Accuracy', 'F1']) AS Metric, "
+        "unnest([recall, precision, accuracy, f1]) AS Score)"),
+    "describe_strings": _describe_strings(),
+    "null_edge_clean": rounded(wn() + f"SELECT * {AS_TEXT} FROM cleaned", ["length"]),
+    "null_edge_phase": rounded(wn() + f"""SELECT * {AS_TEXT}, CAST(SUM(CASE WHEN page = {q(CANCEL_PAGE)} THEN 1 ELSE 0 END)
+        OVER (PARTITION BY userId ORDER BY ts NULLS FIRST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS churn_phase
+        FROM cleaned""", ["length"]),
+    "null_edge_weights": rounded(wn() + """SELECT userId, gender, churn,
+        0.5 / COUNT(*) OVER (PARTITION BY gender, CASE WHEN churn = 0 THEN 0 ELSE 1 END) AS weightCol FROM cleaned""", ["weightCol"]),
+    "null_edge_histogram": rounded(_hist_auto("vals AS (SELECT gender, itemInSession FROM cleaned)", "itemInSession", ["gender"], 10,
+                                              False, wn), ["bin_lo", "bin_hi"]),
+    "null_edge_users": rounded(wn(f"sess AS (SELECT userId, {minutes('MAX(ts) - MIN(ts)')} AS len FROM cleaned GROUP BY userId, sessionId)",
+                                  "sl AS (SELECT userId, AVG(len) AS avg_sess_len FROM sess GROUP BY userId)")
+                               + f"""SELECT userId, AVG(itemInSession) AS avg_items_p_sess, {days('MAX(ts) - MIN(ts)')} AS acc_age,
+                                    ANY_VALUE(avg_sess_len) AS avg_sess_len FROM cleaned JOIN sl USING (userId) GROUP BY userId""",
+                               ["avg_items_p_sess", "avg_sess_len"]),
+    "null_edge_genders": wn() + GENDERS,
+    "clean_job": rounded(w() + "SELECT * FROM cleaned", ["length"]),
+    "feature_job": rounded(w(FEATS) + f"""SELECT *, {SPLIT} AS split,
+        0.5 / COUNT(*) OVER (PARTITION BY {SPLIT}, CASE WHEN churn = 0 THEN 0 ELSE 1 END) AS weightCol FROM feats""",
+                           ["avg_sess_p_day", "avg_length", "avg_items_p_sess", "avg_sess_len", "weightCol", *PAGE_COLS]),
+    "random_split": w(FEATS) + "SELECT userId, churn, CAST(1 AS BIGINT) AS times, TRUE AS same_again FROM feats",
+    "ordered_shares": "SELECT *, TRUE AS in_order FROM (" + _share("hour", "churn = 0") + ")",
+    "ordered_sessions": w() + "SELECT DISTINCT userId, sessionId, TRUE AS in_order FROM cleaned",
 }
 

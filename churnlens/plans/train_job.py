@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
-from churnlens.operators.ml import ALGORITHMS, train
-from churnlens.sources import read_parquet, save_model
+from churnlens.operators.ml import ALGORITHMS, train, train_with_scores
+from churnlens.sources import read_parquet, save_model, write_fold_scores
 
 
 def run_training(spark: SparkSession, algo: str, train_path: str, model_path: str, *,
-                 cross_validate: str | bool = "auto") -> PipelineModel | dict[str, PipelineModel]:
+                 cross_validate: bool = True) -> PipelineModel | dict[str, PipelineModel]:
     """Train one algorithm ('svm', 'nb', 'lr', 'rf') and save the best model.
 
+    The folds' mean score and spread are written next to the model.
     ``algo='all'`` trains the four in turn, saved below ``model_path/<algo>``.
     """
     if algo == "all":
@@ -20,6 +21,12 @@ def run_training(spark: SparkSession, algo: str, train_path: str, model_path: st
                                 cross_validate=cross_validate) for a in ALGORITHMS}
     if algo not in ALGORITHMS:
         raise ValueError(f"Unknown ML algorithm {algo!r}; expected one of {ALGORITHMS} or 'all'")
-    model = train(read_parquet(spark, train_path), algo, cross_validate=cross_validate)
+    if cross_validate:
+        fitted = train_with_scores(read_parquet(spark, train_path), algo)
+        model, scores = fitted.bestModel, (fitted.avgMetrics, fitted.stdMetrics)
+    else:
+        model, scores = train(read_parquet(spark, train_path), algo, cross_validate=False), None
     save_model(model, model_path)
+    if scores:
+        write_fold_scores(spark, model_path, *scores)
     return model

@@ -38,6 +38,9 @@ CLUSTER_CONF = {
 #: Upper bound of rows for a side that may be broadcast (see operators.joins).
 MAX_BROADCAST_ROWS_KEY = "spark.churnlens.maxBroadcastRows"
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000  # ~60 MB of (userId, count) pairs
+#: ... and of its size as a written table.
+MAX_BROADCAST_BYTES_KEY = "spark.churnlens.maxBroadcastBytes"
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -63,29 +66,28 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_core_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable core settings to an existing session."""
     for k, v in CORE_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static or locked setting: keep the session's value
-            pass
+        spark.conf.set(k, v)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone != CORE_CONF["spark.sql.session.timeZone"]:
+        raise RuntimeError(f"hours, weekdays and months are computed in UTC; the session's time zone is {zone}")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide working folder: the session's checkpoint directory.
 
-    Set only when the session has none (local runs and tests).
+    Set only for a local master that has none (local runs and tests): on a
+    cluster a folder of this machine would not reach the executors.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # client-only session: no context object, use the setting
-        sc = None
-    d = sc.getCheckpointDir() if sc is not None else None
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             d = tempfile.mkdtemp(prefix="churnlens-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(d)
-            d = sc.getCheckpointDir() or d
+        sc.setCheckpointDir(d)
+        d = sc.getCheckpointDir() or d
     return d.rstrip("/")
 
 
@@ -94,6 +96,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/churnlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def max_broadcast_bytes(spark: SparkSession) -> int:
+    v = spark.conf.get(MAX_BROADCAST_BYTES_KEY, None)
+    return int(v) if v else DEFAULT_MAX_BROADCAST_BYTES
+
+
 def max_broadcast_rows(spark: SparkSession) -> int:
     v = spark.conf.get(MAX_BROADCAST_ROWS_KEY, None)
     return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS

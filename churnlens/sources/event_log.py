@@ -12,16 +12,44 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnlens.schema import EVENT_LOG, RAW_COLUMNS
 
 
-def read_event_log(spark: SparkSession, path: str | list[str], fmt: str = "json") -> DataFrame:
-    """Read the raw event log (JSON lines by default) with the fixed schema."""
-    reader = spark.read.schema(EVENT_LOG)
-    if fmt == "json":
-        return reader.json(path)
-    return reader.format(fmt).load(path)
+#: Column with the text of lines that do not fit the schema.
+BAD_LINE = "_corrupt_record"
+
+
+def read_event_log(spark: SparkSession, path: str | list[str], fmt: str = "json", *,
+                   bad_lines: str = "fail", all_fields: bool = False) -> DataFrame:
+    """Read the raw event log (JSON lines by default) with the fixed schema.
+
+    A JSON line that is malformed or holds a value that does not fit its
+    column (``"ts": 2.5``) is an error with ``bad_lines='fail'``; with 'keep' its
+    text is in the column ``_corrupt_record`` (see ``split_bad_lines``).
+    ``all_fields`` also reads the fields outside the schema, with inferred
+    types (one more pass over the text), for the profiles of a new log.
+    """
+    if fmt != "json":
+        return spark.read.schema(EVENT_LOG).format(fmt).load(path)
+    fields = list(EVENT_LOG.fields)
+    if all_fields:
+        known = {f.name for f in fields}
+        fields += [f for f in spark.read.json(path).schema.fields if f.name not in known | {BAD_LINE}]
+    if bad_lines == "fail":
+        return spark.read.schema(T.StructType(fields)).json(path, mode="FAILFAST")
+    if bad_lines != "keep":
+        raise ValueError(f"bad_lines is 'fail' or 'keep', not {bad_lines!r}")
+    fields.append(T.StructField(BAD_LINE, T.StringType()))
+    return spark.read.schema(T.StructType(fields)).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE)
+
+
+def split_bad_lines(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the schema, texts of the lines that do not) of a log read with
+    ``bad_lines='keep'``."""
+    return (log.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE),
+            log.filter(F.col(BAD_LINE).isNotNull()).select(BAD_LINE))
 
 
 def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -61,7 +89,15 @@ def _pick(index: Column, values: list[str]) -> Column:
     return expr
 
 
-def events_as_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapted log with NULL ``ts``, ``page``, ``gender`` and ``itemInSession`` on some rows
+    (by event id), for the checks of the operators' NULL handling."""
+    log = events_as_event_log(spark, sf_dir, keep=("event_id",))
+    gaps = {"ts": 11, "page": 13, "gender": 7, "itemInSession": 5}
+    return log.withColumns({c: F.when(F.col("event_id") % n != 1, F.col(c)) for c, n in gaps.items()}).drop("event_id")
+
+
+def events_as_event_log(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The ``events`` test table shaped as a raw event log.
 
     Pure projection of the table: one output row per event, no shuffle.
@@ -86,5 +122,5 @@ def events_as_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         (eid % 97).alias("itemInSession"),
         _pick((uid + eid % 2) % 6, ADAPTER_AGENTS).alias("userAgent"),
         F.when((etype == "view") & (uid % 40 != 3), value).alias("length"),
-        F.lit("Logged In").alias("auth"),
-    ).select(*RAW_COLUMNS)
+        F.lit("Logged In").alias("auth"), *keep,
+    ).select(*RAW_COLUMNS, *keep)

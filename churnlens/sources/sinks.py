@@ -52,6 +52,15 @@ def write_metrics(metrics: DataFrame, model_path: str) -> str:
     return path
 
 
+def write_fold_scores(spark: SparkSession, model_path: str, means: list[float], spreads: list[float]) -> str:
+    """Write the cross-validation scores (one row per parameter map) next to the model."""
+    path = model_path.rstrip("/") + "/fold_scores.json"
+    rows = [(i, float(m), float(s)) for i, (m, s) in enumerate(zip(means, spreads))]
+    (spark.createDataFrame(rows, "param_map int, f1_mean double, f1_std double")
+     .coalesce(1).write.mode("overwrite").json(path))
+    return path
+
+
 def read_metrics(spark: SparkSession, model_paths: dict[str, str]) -> DataFrame:
     """Read the metrics records of several models, tagged with the algorithm.
 
