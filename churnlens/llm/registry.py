@@ -9,7 +9,7 @@ from churnlens.llm.mixing import OP4_SQL, op4_mixing
 from churnlens.llm.personal import op9_personal_data
 from churnlens.llm.pieces import op6_sentencepiece
 from churnlens.llm.quality import OP3_SQL, op3_quality_rules
-from churnlens.llm.sharding import op10_sharding
+from churnlens.llm.sharding import OP10_SQL, op10_sharding
 from churnlens.llm.simhash import op2_simhash
 from churnlens.llm.url_filter import OP1_SQL, op1_url_filters
 
@@ -30,4 +30,5 @@ ORACLE = {
     "op3_quality_rules": OP3_SQL,
     "op4_mixing": OP4_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op10_sharding": OP10_SQL,
 }
