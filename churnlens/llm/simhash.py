@@ -220,18 +220,22 @@ def keep_one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     The dropped rows' ids are joined against the texts, which are shuffled only
     if those are too many to broadcast."""
     rows, groups = near_groups(docs, text, doc_id, max_bits)
-    named = rows.join(groups, "fp").select("__root", F.col("__doc").alias("d"), F.col("__text").alias("t"))
-    order = F.struct(F.col("d").isNull().alias("n"), "d", "t")
-    first = named.groupBy("__root").agg(F.min(order).alias("__first"))
-    ranked = materialize(named.groupBy("__root", "d", "t").agg(F.count(F.lit(1)).alias("__n"))
-                         .join(first, "__root").withColumn("__keep", F.col("__first") == order)
-                         .filter("NOT __keep OR __n > 1").select("d", "t", "__keep"), "not-kept")
-    same = F.col(doc_id).eqNullSafe(F.col("d")) & (F.xxhash64(text) == F.col("t"))
+    # the first row of each fingerprint, then of each group, then beside every fingerprint: a
+    # group of copies meets only as partial minima
+    order = F.struct(F.col("__doc").isNull().alias("n"), F.col("__doc").alias("d"), F.col("__text").alias("t"))
+    first = (rows.groupBy("fp").agg(F.min(order).alias("__f")).join(groups, "fp")
+             .groupBy("__root").agg(F.min("__f").alias("__first")))
+    first = materialize(groups.join(first, "__root").select("fp", "__first"), "first-rows")
+    ranked = materialize(rows.join(first, "fp").select(F.col("__doc").alias("__d"), F.col("__text").alias("__t"),
+                                                       (F.col("__first") == order).alias("__keep"))
+                         .groupBy("__d", "__t", "__keep").agg(F.count(F.lit(1)).alias("__n"))
+                         .filter("NOT __keep OR __n > 1").select("__d", "__t", "__keep"), "not-kept")
+    same = F.col(doc_id).eqNullSafe(F.col("__d")) & (F.xxhash64(text) == F.col("__t"))
     out = docs.join(ranked.filter("NOT __keep"), same, "left_anti")
-    equal = ranked.filter("__keep").select("d", "t")
+    equal = ranked.filter("__keep").select("__d", "__t")
     if equal.count():  # footer counts: rows that repeat a kept row as a whole
-        once = out.join(equal, same, "left_semi").withColumn("__t", F.xxhash64(text)).dropDuplicates([doc_id, "__t"])
-        out = out.join(equal, same, "left_anti").unionByName(once.drop("__t"))
+        once = out.join(equal, same, "left_semi").withColumn("__hash", F.xxhash64(text)).dropDuplicates([doc_id, "__hash"])
+        out = out.join(equal, same, "left_anti").unionByName(once.drop("__hash"))
     return out
 
 
