@@ -93,7 +93,7 @@ def test_groups_and_edges(make):
     base = prose(9, 300)
     rows = [doc(5, base), doc(3, base + " tail"), doc(8, base), doc(9, prose(10, 300)), doc(1, None), doc(2, ""), doc(4, " "),
             doc(None, prose(11)), doc(None, prose(11)), doc(9, prose(10, 300)), doc(12, base.upper())]
-    df = make(rows).withColumnRenamed("lang", "fp").withColumnRenamed("n_chars", "component_id")
+    df = make(rows).withColumnsRenamed({"lang": "fp", "n_chars": "component_id", "source": "t"})
     fps = {i: _fingerprint(t) for i, t, *_ in rows if i is not None}
     near = _classes(set(fps.values()))
     found, groups = S.near_groups(df)
