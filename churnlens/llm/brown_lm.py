@@ -266,11 +266,14 @@ def _score(shared, n_words: int):
         table, class_of, transition, emitted, base_total, end = shared.value
         logs = {}
         for batch in batches:
-            rows = []
+            rows, words, times, offsets = [], [], [], [0]  # the rare words of all texts behind each other
             for text in batch.column("text"):
                 w = lower_words(text.as_py())
                 hits = list(map(table.get, w))
                 rare = Counter(x for x, h in zip(w, hits) if h is None)
+                words += rare
+                times += rare.values()
+                offsets.append(len(words))
                 items = [n_words + group_of(x) if h is None else h[0] for x, h in zip(w, hits)]
                 cls = class_of[np.array([*items, len(class_of) - 1], np.int64)]
                 log_n = 0.0
@@ -279,13 +282,13 @@ def _score(shared, n_words: int):
                         v = logs[n] = math.log10(n + ADD)
                     log_n += v
                 model = float(transition[np.r_[len(emitted) - 1, cls[:-1]], cls].sum() - emitted[cls[:-1]].sum())
-                rows.append((len(w) + 1, len(w) - rare.total(), log_n + end - base_total * (len(w) + 1), log_n + model,
-                             [{"word": k, "k": v} for k, v in rare.items()]))
-            cols = list(zip(*rows)) or [(), (), (), (), ()]
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                     pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int32())])))
+                rows.append((len(w) + 1, len(w) - rare.total(), log_n + end - base_total * (len(w) + 1), log_n + model))
+            cols = list(zip(*rows)) or [(), (), (), ()]
+            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            pairs = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int32())], ["word", "k"])
             kept = batch.drop_columns(["text"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, t) for c, t in zip(cols, types))],
+            yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, t) for c, t in zip(cols, types)),
+                                              pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)],
                                              names=[*kept.schema.names, "n_tokens", "n_known", "base_score", "score", "__rare"])
     return score
 
