@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.text import lower_words
+from churnlens.llm.text import in_small_batches, lower_words
 from churnlens.operators.joins import materialize
 
 CLASSES = 32
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, text: str = "text", *, classes: int = CLASSES, sweeps:
         items: int = ITEMS, known: int = KNOWN) -> Model:
     """Learns from all rows of ``docs``."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(text).alias("text"))
+    texts = in_small_batches(docs).select(F.col(text).alias("text"))
     vocabulary = materialize(word_counts(texts), "vocabulary")
     tokens, types = vocabulary.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens = tokens or 0

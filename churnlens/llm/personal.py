@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.llm.text import in_small_batches
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1  # 0: none
 FIT_DOCS = 2000
@@ -315,7 +317,7 @@ def find_personal(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     """``docs`` without the text, with ``spans``: an array of (start, kind, end, base) by start,
     kind counting from 0 in the order of KINDS, base false for what the field added."""
     field = docs.sparkSession.sparkContext.broadcast(fit_field(docs, text, doc_id))
-    named = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "spans"])
+    named = in_small_batches(docs).select(*[F.col(f"`{c}`") for c in docs.columns if c != "spans"])
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in named.drop(text).schema),
                         "spans array<struct<start:int, kind:int, end:int, base:boolean>>"])
     return named.mapInArrow(_finder(field, text), schema)

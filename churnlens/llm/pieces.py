@@ -40,9 +40,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.llm.text import in_small_batches
+
 NBEST = 4
 #: Blocks that a task remembers before it starts anew.
-CACHE = 600_000
+CACHE = 400_000
 #: Ids in a batch of results.
 OUT_IDS = 1 << 20
 SPACE_SIGN = "▁"
@@ -284,7 +286,7 @@ def encode_pieces(docs: DataFrame, text: str = "text", *, model: str | None = No
     gives back the text (columns of these names are replaced)."""
     pieces = docs.sparkSession.sparkContext.broadcast(Pieces.read(model or default_model()))
     new = ("n_tokens", "ids", "scores", "alternatives", "exact")
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new])
+    docs = in_small_batches(docs).select(*[F.col(f"`{c}`") for c in docs.columns if c not in new])
     kept = docs.drop(text)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), RESULT])
     return docs.mapInArrow(_encoder(pieces, n, text), schema)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from churnlens.llm.text import WHITE, words
+from churnlens.llm.text import WHITE, in_small_batches, words
 from churnlens.operators.joins import materialize
 
 MIN_WORDS = 50
@@ -78,7 +78,7 @@ def with_rules(docs: DataFrame, text: str = "text", at: str = "__q") -> DataFram
     base = (q["n_words"] < MIN_WORDS) | (100 * q["n_repeat_words"] > MAX_REPEAT_PERCENT * q["n_words"])
     more = ((q["n_symbols"] > MAX_SYMBOLS_PER_WORD * q["n_words"])
             | (q["n_dup_lines"] > MAX_DUP_LINE_SHARE * q["n_words"]))
-    return (docs.withColumn(at, pandas_udf(_stats, STATS)(F.col(text)))
+    return (in_small_batches(docs).withColumn(at, pandas_udf(_stats, STATS)(F.col(text)))
             .withColumn(at, q.withField("base_failed", base).withField("failed", base | more)))
 
 

@@ -36,7 +36,7 @@ from pyspark.sql.functions import pandas_udf
 from xxhash import xxh64_intdigest
 
 from churnlens.llm.components import components
-from churnlens.llm.text import lower_words
+from churnlens.llm.text import in_small_batches, lower_words
 from churnlens.operators.joins import materialize
 
 SHINGLE = 3
@@ -199,7 +199,7 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
     """(rows, groups): rows has __doc, __text (hash of the text) and fp of every row; groups
     has fp, __root (smallest linked fingerprint) and component_id of every fingerprint."""
-    rows = materialize(docs.select(F.col(doc_id).alias("__doc"), F.xxhash64(text).alias("__text"),
+    rows = materialize(in_small_batches(docs).select(F.col(doc_id).alias("__doc"), F.xxhash64(text).alias("__text"),
                                    fingerprints(F.col(text)).alias("fp")), "fingerprints")
     nodes = materialize(rows.groupBy("fp").agg(F.min("__doc").alias("__least")), "nodes")
     stars = components(materialize(near_links(nodes.select("fp"), max_bits), "links"))

@@ -8,7 +8,7 @@ tasks works on UTF-8 bytes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,6 +16,19 @@ WHITE = " \t\n\x0b\f\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+#: Bytes of text that a task hands to Python at once (Spark's own default is 64 MB).
+BATCH_BYTES = 8 << 20
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold at most BATCH_BYTES, however long the texts."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = conf.get(key).lower().removesuffix("b")
+    if not size.isdigit() or not 0 < int(size) <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def words(text: str | None) -> list[bytes]:
     """The words of a whole text as UTF-8 bytes; none for null."""
     return text.encode().split() if text else []
