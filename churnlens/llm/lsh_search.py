@@ -39,11 +39,11 @@ from pyspark.sql.functions import pandas_udf
 from churnlens.operators.joins import materialize
 
 NEAREST = 10
-TABLES = 6
-HASHES = 6
-PROBES = 60
+TABLES = 12
+HASHES = 8
+PROBES = 80
 #: Width of a step, in mean distances of the sample.
-WIDTH = 1.6
+WIDTH = 1.41
 FIT_ROWS = 1000
 CHUNK = 16384
 BLOCK = 256  # queries compared with all rows at once
