@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from churnlens.operators.clean import clean
 from churnlens.operators.joins import materialize
-from churnlens.session import ensure_core_conf
+from churnlens.session import ensure_core_conf, scratch
 from churnlens.sources import read_event_log, split_bad_lines, write_parquet
 
 
@@ -19,10 +19,10 @@ def run_clean(spark: SparkSession, input_path: str, output_path: str, *,
     error, or with ``bad_lines='keep'`` written to ``<output>.bad-lines``.
     """
     ensure_core_conf(spark)
-    raw = read_event_log(spark, input_path, fmt, bad_lines=bad_lines)
-    if fmt == "json" and bad_lines == "keep":
-        raw = materialize(raw, "raw-log")
-        raw, bad = split_bad_lines(raw)
-        write_parquet(bad, f"{output_path.rstrip('/')}.bad-lines", mode)
-    staged = fmt not in ("parquet", "orc")
-    return write_parquet(clean(raw, stage=staged), output_path, mode)
+    with scratch(spark):
+        raw = read_event_log(spark, input_path, fmt, bad_lines=bad_lines)
+        if fmt == "json" and bad_lines == "keep":
+            raw, bad = split_bad_lines(materialize(raw, "raw-log"))
+            write_parquet(bad, f"{output_path.rstrip('/')}.bad-lines", mode)
+        staged = fmt not in ("parquet", "orc")
+        return write_parquet(clean(raw, stage=staged), output_path, mode)

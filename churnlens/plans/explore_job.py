@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from churnlens.operators import explore as X
 from churnlens.operators.histogram import histogram
 from churnlens.operators.joins import materialize
-from churnlens.session import ensure_core_conf
+from churnlens.session import ensure_core_conf, scratch
 from churnlens.sources import read_parquet, write_parquet
 
 
@@ -57,10 +57,11 @@ def run_exploration(spark: SparkSession, cleaned_path: str, out_dir: str, *,
     """Write every comparison under ``out_dir``; returns the table names."""
     ensure_core_conf(spark)  # hours, weekdays and months in UTC
     cleaned = read_parquet(spark, cleaned_path)
-    sessions = X.summarize(cleaned)
-    times = materialize(X.time_bucket_counts(cleaned), "time-bucket-counts")
     names = []
-    for name, build in comparisons(cleaned, sessions, times).items():
-        write_parquet(build(), f"{out_dir.rstrip('/')}/{name}", mode)
-        names.append(name)
+    with scratch(spark):
+        sessions = X.summarize(cleaned)
+        times = materialize(X.time_bucket_counts(cleaned), "time-bucket-counts")
+        for name, build in comparisons(cleaned, sessions, times).items():
+            write_parquet(build(), f"{out_dir.rstrip('/')}/{name}", mode)
+            names.append(name)
     return names

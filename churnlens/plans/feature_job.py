@@ -9,7 +9,7 @@ from churnlens.operators.features import user_features
 from churnlens.operators.joins import materialize
 from churnlens.operators.ml import encode_systems
 from churnlens.operators.split import split_column, train_validation_split, with_class_weights
-from churnlens.session import ensure_core_conf
+from churnlens.session import ensure_core_conf, scratch
 from churnlens.sources import read_parquet, write_parquet
 
 
@@ -40,7 +40,8 @@ def run_features(spark: SparkSession, cleaned_path: str, train_path: str,
                  mode: str = "errorifexists") -> tuple[str, str]:
     ensure_core_conf(spark)  # month of activity is computed in UTC
     cleaned = read_parquet(spark, cleaned_path)
-    train, validation = weighted_split(feature_table(cleaned), method)
-    write_parquet(train, train_path, mode)
-    write_parquet(validation, validation_path, mode)
+    with scratch(spark):
+        train, validation = weighted_split(feature_table(cleaned), method)
+        write_parquet(train, train_path, mode)
+        write_parquet(validation, validation_path, mode)
     return train_path, validation_path

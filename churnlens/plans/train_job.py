@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from churnlens.operators.ml import ALGORITHMS, train, train_with_scores
+from churnlens.session import scratch
 from churnlens.sources import read_parquet, save_model, write_fold_scores
 
 
@@ -21,6 +22,12 @@ def run_training(spark: SparkSession, algo: str, train_path: str, model_path: st
                                 cross_validate=cross_validate) for a in ALGORITHMS}
     if algo not in ALGORITHMS:
         raise ValueError(f"Unknown ML algorithm {algo!r}; expected one of {ALGORITHMS} or 'all'")
+    with scratch(spark):
+        return _fit_and_save(spark, algo, train_path, model_path, cross_validate)
+
+
+def _fit_and_save(spark: SparkSession, algo: str, train_path: str, model_path: str,
+                  cross_validate: bool) -> PipelineModel:
     if cross_validate:
         fitted = train_with_scores(read_parquet(spark, train_path), algo)
         model, scores = fitted.bestModel, (fitted.avgMetrics, fitted.stdMetrics)

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -91,9 +93,35 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+#: Paths handed out by ``scratch_path`` in this process, in order.
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder."""
-    return f"{shared_dir(spark)}/churnlens/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/churnlens/{name}-{uuid.uuid4().hex[:12]}"
+    _handed_out.append(path)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _handed_out:
+        _handed_out.remove(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables written inside are deleted at the end: for jobs that write their
+    result elsewhere before they return."""
+    before = set(_handed_out)
+    try:
+        yield
+    finally:
+        for path in [p for p in _handed_out if p not in before]:
+            drop_path(spark, path)
 
 
 def max_broadcast_bytes(spark: SparkSession) -> int:

@@ -84,6 +84,22 @@ def test_equal_rows_of_a_hot_key_are_spread(spark):
     assert salted.filter("userId = 'hot'").select("s").distinct().count() == 16
 
 
+def test_jobs_leave_no_scratch_tables(spark, tmp_path):
+    from churnlens import session
+
+    before = list(session._handed_out)
+    path = write_parquet(C.clean(rows(spark, [ev(), ev(user="2", ts=5)])), f"file://{tmp_path}/in")
+    made = [p for p in session._handed_out if p not in before]
+    (tmp_path / "log.json").write_text(json.dumps({"userId": "1", "page": "Home", "ts": 1}))
+    run_clean(spark, f"file://{tmp_path}/log.json", f"file://{tmp_path}/out")
+    run_exploration(spark, path, f"file://{tmp_path}/tables")
+    assert [p for p in session._handed_out if p not in before] == made
+    kept = J.materialize(spark.range(3), "kept")
+    session.drop_path(spark, session._handed_out[-1])
+    with pytest.raises(Exception):
+        spark.read.parquet(kept.inputFiles()[0]).count()
+
+
 def test_wide_small_side_is_not_broadcast(spark):
     small = J.materialize(spark.range(10).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x")), "small")
     assert J.fits(small, 10) and not J.fits(small, 9)
