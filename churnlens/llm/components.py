@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.operators.joins import materialize
+from churnlens.session import drop_path, scratch_path
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -36,10 +36,17 @@ def _signature(links: DataFrame):
 def components(links: DataFrame) -> DataFrame:
     """(a, b) for every node ``a`` that is not the smallest of its component, ``b``
     being the smallest. ``links`` has two long columns a and b, in any order."""
-    now = materialize(_small_star(links), "stars")
+    spark = links.sparkSession
+
+    def written(stars: DataFrame) -> tuple[str, DataFrame]:
+        path = scratch_path(spark, "stars")
+        stars.write.parquet(path)
+        return path, spark.read.parquet(path)
+    path, now = written(_small_star(links))
     seen = _signature(now)
     while seen[0]:
-        now = materialize(_small_star(_large_star(now)), "stars")
+        old, (path, now) = path, written(_small_star(_large_star(now)))
+        drop_path(spark, old)
         last, seen = seen, _signature(now)
         if last == seen:
             break

@@ -16,7 +16,7 @@ from churnlens.llm.mixing import mix
 from churnlens.llm.pieces import encode_pieces
 from churnlens.llm.quality import keep_good
 from churnlens.llm.simhash import keep_one_of_each
-from churnlens.operators.joins import materialize
+from churnlens.session import scratch, scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,5 +59,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with scratch(spark):  # the stage's own tables go when its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
