@@ -95,6 +95,7 @@ class Model:
     tokens: int
     types: int
     known: dict[bytes, tuple[int, int]]  # word -> (item, count)
+    known_from: int  # words with this count or more are in ``known``
     class_of: np.ndarray  # by item: words, groups, end
     transition: np.ndarray  # log10, (previous class, class)
     emitted: np.ndarray  # log10 of each class's denominator
@@ -225,9 +226,10 @@ def fit(docs: DataFrame, text: str = "text", *, classes: int = CLASSES, sweeps:
     tokens, types = vocabulary.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens = tokens or 0
     # at most ``known`` words have one token in ``known``
-    top = sorted(((-r["n"], bytes(r["word"])) for r in vocabulary.filter(F.col("n") * known >= tokens).collect()
+    known_from, item_from = max(1, -(-tokens // known)), max(1, -(-tokens // items))
+    top = sorted(((-r["n"], bytes(r["word"])) for r in vocabulary.filter(F.col("n") >= known_from).collect()
                   if r["word"]))
-    words = [w for n, w in top if -n * items >= tokens]
+    words = [w for n, w in top if -n >= item_from]
     n_words, n_classes = len(words), classes + 1
     group_item = lambda w: n_words + group_of(w)
     table = {w: (i if i < n_words else group_item(w), -n) for i, (n, w) in enumerate(top)}
@@ -246,7 +248,7 @@ def fit(docs: DataFrame, text: str = "text", *, classes: int = CLASSES, sweeps:
     transition = np.log10((pairs + BACKOFF * own) / (pairs.sum(1, keepdims=True) + BACKOFF))
     # a class's tokens and types: its words and the words of its groups
     tail = np.zeros((GROUPS, 2))
-    rest = vocabulary.filter((F.col("n") * items < tokens) & (F.octet_length("word") > 0))
+    rest = vocabulary.filter((F.col("n") < item_from) & (F.octet_length("word") > 0))
     for r in (rest.groupBy((F.crc32(F.expr("substring(word, greatest(length(word) - 2, 1), 3)")) % GROUPS).alias("g"))
               .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).collect()):  # a row per group
         tail[r["g"]] = r["n"], r["types"]
@@ -257,7 +259,7 @@ def fit(docs: DataFrame, text: str = "text", *, classes: int = CLASSES, sweeps:
     unseen = np.zeros(n_classes)
     unseen[class_of[n_words:-1]] = 1
     emitted = np.log10(np.maximum(total + ADD * (kinds + unseen), ADD))
-    return Model(vocabulary, tokens, types, table, class_of, transition, emitted)
+    return Model(vocabulary, tokens, types, table, known_from, class_of, transition, emitted)
 
 
 def _score(shared, n_words: int):
@@ -311,7 +313,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     part = materialize(named.mapInArrow(_score(shared, n_words), schema)
                        .withColumn("__row", F.monotonically_increasing_id()), "scores")
     # words below the tasks' table: joined with their counts, summed per text
-    rest = model.vocabulary.filter(F.col("n") * KNOWN < model.tokens)
+    rest = model.vocabulary.filter(F.col("n") < model.known_from)
     rare = part.select("__row", F.explode("__rare").alias("r")).select("__row", "r.word", "r.k")
     n = F.coalesce("n", F.lit(0))
     more = (rare.join(rest, "word", "left").groupBy("__row")
