@@ -68,8 +68,7 @@ def _brute(rows, model):
 
 
 @pytest.mark.parametrize("items,known", [(B.ITEMS, B.KNOWN), (100, 200)])
-def test_scores_equal_brute_force(make, monkeypatch, items, known):
-    monkeypatch.setattr(B, "KNOWN", known)
+def test_scores_equal_brute_force(make, items, known):
     rows = [doc(i, prose(i, 40)) for i in range(60)] + EDGES
     df = make(rows).withColumnRenamed("lang", "rare").withColumnRenamed("n_chars", "score")
     model = B.fit(df.filter(~B.held_out(F.col("doc_id"))), classes=6, items=items, known=known)
