@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 from churnlens.llm.text import in_small_batches
 
 NBEST = 4
-#: Blocks that a task remembers before it starts anew.
-CACHE = 400_000
+#: Blocks in each of the two generations that a task remembers.
+CACHE = 300_000
 #: Ids in a batch of results.
 OUT_IDS = 1 << 20
 SPACE_SIGN = "▁"
@@ -193,13 +193,16 @@ class Encoder:
     def __init__(self, pieces: Pieces, n: int = NBEST):
         self.pieces, self.n = pieces, n
         self.known: dict[str, tuple[bytes, float, float]] = {}
+        self.older: dict[str, tuple[bytes, float, float]] = {}  # blocks seen again come back from here
         self.lists: dict[str, list[tuple[float, list[int]]]] = {}
 
     def _block(self, s: str) -> tuple[bytes, float, float]:
         if len(self.known) >= CACHE:
-            self.known.clear()
-        ids, score, loss = self.pieces.best(s)
-        got = self.known[s] = (array("i", ids).tobytes(), score, loss)
+            self.known, self.older = {}, self.known
+        if (got := self.known.get(s) or self.older.get(s)) is None:
+            ids, score, loss = self.pieces.best(s)
+            got = array("i", ids).tobytes(), score, loss
+        self.known[s] = got
         return got
 
     def _list(self, s: str) -> list[tuple[float, list[int]]]:
@@ -215,7 +218,7 @@ class Encoder:
             return np.zeros(0, np.int32), [0.0], []
         blocks = self.pieces.blocks.findall(" " + text)
         known, make = self.known.get, self._block
-        got = [known(b) or make(b) for b in blocks]
+        got = [known(b) or make(b) for b in blocks]  # a generation that ends meanwhile is still read
         raw, scores, losses = zip(*got)
         ids = np.frombuffer(b"".join(raw), np.int32)
         score = sum(scores)
