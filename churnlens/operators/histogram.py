@@ -37,7 +37,11 @@ def histogram(df: DataFrame, value: str, group: tuple[str, ...] | list[str] = ("
             F.when(F.col("__b") > F.col("__a"), F.col("__a")).otherwise(F.col("__a") - 0.5).alias("__lo"),
             F.when(F.col("__b") > F.col("__a"), F.col("__b")).otherwise(F.col("__b") + 0.5).alias("__hi"))
         # one row per group: broadcast on its known bound, else after the size check
-        x = join_null_safe(x, rng, group, proven_rows=groups) if group else x.crossJoin(F.broadcast(rng))
+        if group:
+            x = join_null_safe(x, rng, group, proven_rows=groups)
+        else:
+            ends = rng.first()
+            x = x.withColumns({c: F.lit(ends[c]).cast("double") for c in ("__lo", "__hi")})
         width = (F.col("__hi") - F.col("__lo")) / n
         x = x.withColumn("bin", F.least(F.floor((F.col("__x") - F.col("__lo")) / width),
                                         F.lit(n - 1)).cast("int"))
