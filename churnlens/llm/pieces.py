@@ -246,6 +246,16 @@ class Encoder:
         return ids, [score - loss for loss, _ in ranked], edits
 
 
+#: The encoder of this Python worker's last task: what it remembers serves the next one.
+_last: list[Encoder] = []
+
+
+def _encoder_of_worker(pieces: Pieces, n: int) -> Encoder:
+    if not _last or _last[0].pieces is not pieces or _last[0].n != n:
+        _last[:] = [Encoder(pieces, n)]
+    return _last[0]
+
+
 def apply_edits(ids, edits) -> list[int]:
     """The ids of an alternative, from the best ids and the alternative's edits."""
     out, last = [], 0
@@ -257,7 +267,7 @@ def apply_edits(ids, edits) -> list[int]:
 
 def _encoder(pieces, n: int, text: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(pieces.value, n)
+        encoder = _encoder_of_worker(pieces.value, n)
         for batch in batches:
             rows, size, first = [], 0, 0
             texts = batch.column(text)
