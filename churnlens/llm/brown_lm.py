@@ -4,19 +4,26 @@ P(word | previous) = P(class | previous word's class) * P(word | class). The
 classes come from exchange clustering: starting from words dealt out by
 frequency, each item moves to the class that raises the likelihood of the
 training bigrams most, given the counts of its left and right neighbours'
-classes; the counts are taken anew from the whole corpus before every sweep.
-An item is a word with at least 1 / ITEMS of all tokens (so at most ITEMS
-words) or one of GROUPS groups of rarer words with the same ending; every word
-has a class, those not seen in training too.
+classes; the counts are taken anew from the whole corpus before every batch.
+An item is a word with at least MIN_COUNT tokens, however large the corpus, or
+one of GROUPS groups of rarer words with the same ending; every word has a
+class, those not seen in training too.
+
+A sweep has three batches. The HEAD most frequent words and the groups move one
+after the other on the driver. The other words move in tasks, half of them at a
+time: each task's counts go to the task of the item, which compares the classes
+by the class bigrams counted before the batch. Moves made side by side can hinder
+each other: a batch that lowers the recounted likelihood keeps a half, a quarter
+and so on of its moves, or none.
 
 What Spark does: word counts (partial counts per task, one shuffle), the
-neighbours' class counts of every sweep (one table of ITEMS x classes per task,
-summed per item), the scores. What the driver holds: the counts of items by
-class, whose size is bounded by ITEMS, GROUPS and CLASSES, and the counts of
-words with at least 1 / KNOWN of the tokens (at most KNOWN words), which the
-tasks use as a table. The full vocabulary stays in Spark: occurrences of rarer
-words are counted per document, joined with their counts by word, and summed
-back per document.
+neighbours' class counts, the moves of all words but the HEAD first, the scores.
+What the driver holds: the counts of HEAD + GROUPS items by class; the words
+with at least 1 / KNOWN of the tokens (at most KNOWN words), which the tasks use
+as a table; 64 bits of hash, a count and a class for each rarer item, of which the
+tasks have hash and class. Items with equal hashes are one item. The full
+vocabulary stays in Spark: occurrences of rarer words are counted per document,
+joined with their counts by word, and summed back per document.
 
 Smoothing: word counts + 0.5, with one more word of count 0 in every class
 that has a group of rarer words; class transitions are interpolated with the
@@ -39,14 +46,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from churnlens.llm.text import in_small_batches, lower_words
 from churnlens.operators.joins import materialize
+from churnlens.session import scratch
 
 CLASSES = 32
 GROUPS = 256
-#: Items are words with at least one token in so many; with the groups and the end, ids fit into 16 bits.
-ITEMS = 65536 - GROUPS - 1
+#: Words with at least so many tokens are items.
+MIN_COUNT = 5
+#: If set, items are only words with at least one token in so many.
+ITEMS = None
+#: The most frequent words, moved one after the other.
+HEAD = 4096
+#: What the tasks' items are dealt out by.
+BUCKETS = 4096
+#: How often the moves of a batch are halved before it is dropped.
+HALVINGS = 4
 #: Words with at least one token in so many are a table in the tasks, the others are joined.
 KNOWN = 1 << 20
 SWEEPS = 3
@@ -54,6 +71,8 @@ ADD = 0.5
 #: Weight, in tokens, of the classes' own frequencies in the transitions.
 BACKOFF = 10.0
 FLUSH = 200_000
+KEYS = 1 << 21  # neighbours that a task counts at once
+SEED = 42
 END = b""
 
 
@@ -96,6 +115,7 @@ class Model:
     types: int
     known: dict[bytes, tuple[int, int]]  # word -> (item, count)
     known_from: int  # words with this count or more are in ``known``
+    rarer: np.ndarray  # sorted hashes of the items that are not in ``known``: the last of the words
     class_of: np.ndarray  # by item: words, groups, end
     transition: np.ndarray  # log10, (previous class, class)
     emitted: np.ndarray  # log10 of each class's denominator
@@ -104,40 +124,58 @@ class Model:
         return len(self.class_of) - 1 - GROUPS + group_of(word)
 
 
-def _item_ids(known, n_words: int):
+def rare_items(words: list[bytes], rarer: np.ndarray, n_words: int) -> list[int]:
+    """Items of words that are not in the tasks' table."""
+    if not len(rarer):
+        return [n_words + group_of(w) for w in words]
+    hashes = np.array([xxh64_intdigest(w, SEED) for w in words], np.uint64)
+    at = np.minimum(np.searchsorted(rarer, hashes), len(rarer) - 1)
+    first = n_words - len(rarer)
+    return [first + i if hit else n_words + group_of(w)
+            for w, i, hit in zip(words, at.tolist(), (rarer[at] == hashes).tolist())]
+
+
+def _item_ids(shared, n_words: int):
     """Texts to item ids: every row a batch's texts, with an end before the first and after each."""
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, end = known.value, n_words + GROUPS
+        (known, rarer), end = shared.value, n_words + GROUPS
         for batch in batches:
             out, parts = [end], []
             for text in batch.column("text"):
-                for w in lower_words(text.as_py()):
-                    hit = table.get(w)
-                    out.append(n_words + group_of(w) if hit is None else hit[0])
+                w = lower_words(text.as_py())
+                rare = list({x for x in w if x not in known})
+                more = dict(zip(rare, rare_items(rare, rarer, n_words)))
+                out += [more[x] if (hit := known.get(x)) is None else hit[0] for x in w]
                 out.append(end)
                 if len(out) > 1 << 18:
-                    parts.append(np.array(out, np.uint16).tobytes())
+                    parts.append(np.array(out, np.uint32).tobytes())
                     out = [end]
             if len(out) > 1:
-                parts.append(np.array(out, np.uint16).tobytes())
+                parts.append(np.array(out, np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["ids"])
     return ids
 
 
-def _neighbours(class_of, n_classes: int):
-    """Counts of the left and the right neighbours' classes, and of itself, per item seen in the task."""
+def _neighbours(class_of, n_classes: int, head: int, n_words: int):
+    """Counts of the left and the right neighbours' classes, and of itself, per head word, group and
+    end seen in the task; behind them, each class's counts as if it were an item."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = class_of.value
-        size = len(classes) * n_classes
+        tops = head + len(classes) - n_words
+        size = (tops + n_classes) * n_classes
         left, right = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        twice = np.zeros(len(classes), np.int64)
+        twice = np.zeros(tops + n_classes, np.int64)
         for batch in batches:
             for raw in batch.column("ids"):
-                item = np.frombuffer(raw.as_buffer(), np.uint16).astype(np.int64)
-                cls = classes[item]
-                left += np.bincount(item[1:] * n_classes + cls[:-1], minlength=size)
-                right += np.bincount(item[:-1] * n_classes + cls[1:], minlength=size)
-                twice += np.bincount(item[1:][item[1:] == item[:-1]], minlength=len(classes))
+                item = np.frombuffer(raw.as_buffer(), np.uint32).astype(np.int64)
+                cls = classes[item].astype(np.int64)
+                slot = np.where(item >= n_words, item - n_words + head, np.where(item < head, item, -1))
+                at = np.flatnonzero(slot >= 0)
+                after, before = at[at > 0], at[at < len(item) - 1]
+                left += np.bincount(slot[after] * n_classes + cls[after - 1], minlength=size)
+                right += np.bincount(slot[before] * n_classes + cls[before + 1], minlength=size)
+                left += np.bincount((tops + cls[1:]) * n_classes + cls[:-1], minlength=size)
+                twice += np.bincount(slot[after[item[after] == item[after - 1]]], minlength=len(twice))
         rows = np.concatenate([left.reshape(-1, n_classes), right.reshape(-1, n_classes), twice[:, None]], axis=1)
         seen = np.flatnonzero(rows.any(axis=1))
         yield pa.RecordBatch.from_arrays(
@@ -160,15 +198,127 @@ def _sum_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names=["item", "counts"])
 
 
-def _class_counts(ids: DataFrame, class_of: np.ndarray, n_classes: int):
-    """(left, right, twice) of all items, summed over the corpus."""
-    shared = ids.sparkSession.sparkContext.broadcast(class_of)
-    rows = (ids.mapInArrow(_neighbours(shared, n_classes), "item int, counts binary")
+def _class_counts(ids: DataFrame, class_of: np.ndarray, n_classes: int, head: int, n_words: int):
+    """(left, right, twice) of the head words, groups and end, and the class bigrams, over the corpus."""
+    shared = ids.sparkSession.sparkContext.broadcast(class_of.astype(np.int16))
+    rows = (ids.mapInArrow(_neighbours(shared, n_classes, head, n_words), "item int, counts binary")
             .repartition("item").mapInArrow(_sum_items, "item int, counts binary").collect())  # a row per item
-    table = np.zeros((len(class_of), 2 * n_classes + 1), np.int64)
+    shared.destroy()
+    tops = head + len(class_of) - n_words
+    table = np.zeros((tops + n_classes, 2 * n_classes + 1), np.int64)
     for r in rows:
         table[r["item"]] = np.frombuffer(r["counts"], np.int64)
-    return table[:, :n_classes], table[:, n_classes:-1], table[:, -1]
+    return table[:tops, :n_classes], table[:tops, n_classes:-1], table[:tops, -1], table[tops:, :n_classes].T.copy()
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.add.reduceat(counts[order], starts) if len(keys) else counts
+
+
+def _rest_neighbours(class_of, n_classes: int, head: int, n_words: int, part: int):
+    """As ``_neighbours``, of every second word behind the head: per bucket, sorted keys
+    (place in the bucket, column) and their counts."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, width = class_of.value, 2 * n_classes + 1
+        span = (n_words // 2 // BUCKETS + 1) * width  # keys of a bucket
+        found, held, sums = [], 0, []
+
+        def sum_up():
+            keys, counts = np.unique(np.concatenate(found), return_counts=True)
+            found.clear()
+            sums.append((keys, counts))
+
+        def flush():
+            keys, counts = _summed(*map(np.concatenate, zip(*sums)))
+            sums.clear()
+            cuts = np.flatnonzero(np.diff(keys // span)) + 1
+            rows = [(int(k[0] // span), (k % span).astype("<u4").tobytes(), c.astype("<u4").tobytes())
+                    for k, c in zip(np.split(keys, cuts), np.split(counts, cuts)) if len(k)]
+            cols = list(zip(*rows)) or [(), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary()))],
+                                              names=["bucket", "keys", "counts"])
+        for batch in batches:
+            for raw in batch.column("ids"):
+                item = np.frombuffer(raw.as_buffer(), np.uint32).astype(np.int64)
+                cls = classes[item].astype(np.int64)
+                # the first and the last token are ends
+                at = np.flatnonzero((item >= head) & (item < n_words) & (item % 2 == part))
+                place = item[at] // 2
+                base = place % BUCKETS * span + place // BUCKETS * width
+                same = item[at] == item[at - 1]
+                found += [base + cls[at - 1], base + n_classes + cls[at + 1], base[same] + 2 * n_classes]
+                held += 2 * len(at)
+                if held > KEYS:
+                    sum_up()
+                    held = 0
+                    if sum(len(k) for k, _ in sums) > 2 * KEYS:
+                        yield flush()
+        if found:
+            sum_up()
+        if sums:
+            yield flush()
+    return count
+
+
+def _best_moves(shared, n_classes: int, part: int):
+    """Buckets in order, to the items that move and their new classes."""
+    def best(bucket: int, blobs: list[tuple[bytes, bytes]]):
+        class_of, pairs = shared.value
+        keys, counts = _summed(np.concatenate([np.frombuffer(k, "<u4") for k, _ in blobs]).astype(np.int64),
+                               np.concatenate([np.frombuffer(c, "<u4") for _, c in blobs]).astype(np.int64))
+        places, row = np.unique(keys // (2 * n_classes + 1), return_inverse=True)
+        items = (places * BUCKETS + bucket) * 2 + part
+        out = []
+        for k in range(0, len(items), 1024):
+            at = slice(*np.searchsorted(row, [k, k + 1024]))
+            table = np.zeros((min(1024, len(items) - k), 2 * n_classes + 1), np.int64)
+            table[row[at] - k, keys[at] % (2 * n_classes + 1)] = counts[at]
+            own = class_of[items[k:k + 1024]].astype(np.int64)
+            gain = gains(pairs, own, table[:, :n_classes], table[:, n_classes:-1], table[:, -1])
+            new = gain.argmax(1)
+            rows = np.arange(len(own))
+            out.append(np.where(gain[rows, new] > gain[rows, own] + 1e-9, new, own))
+        new = np.concatenate(out)
+        moved = new != class_of[items]
+        return bucket, items[moved].astype("<u4").tobytes(), new[moved].astype("<i2").tobytes()
+
+    def moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array([x]) for x in best(last, blobs)], names=["bucket", "items", "classes"])
+        last, blobs = None, []
+        for batch in batches:
+            for bucket, *blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "keys", "counts"))):
+                if bucket != last and blobs:
+                    yield done()
+                    blobs = []
+                last = bucket
+                blobs.append(blob)
+        if blobs:
+            yield done()
+    return lambda batches: (b.cast(MOVES) for b in moves(batches))
+
+
+MOVES = pa.schema([("bucket", pa.int32()), ("items", pa.binary()), ("classes", pa.binary())])
+
+
+def exchange_rest(ids: DataFrame, class_of: np.ndarray, pairs: np.ndarray, n_classes: int, head: int, n_words: int,
+                  part: int) -> np.ndarray:
+    """Every second word behind the head moves to its best class, given the class bigrams ``pairs``."""
+    sc = ids.sparkSession.sparkContext
+    small = class_of.astype(np.int16)
+    classes, both = sc.broadcast(small), sc.broadcast((small, pairs))
+    counts = ids.mapInArrow(_rest_neighbours(classes, n_classes, head, n_words, part), "bucket int, keys binary, counts binary")
+    rows = (counts.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(_best_moves(both, n_classes, part), "bucket int, items binary, classes binary").collect())
+    classes.destroy()
+    both.destroy()
+    class_of = class_of.copy()
+    for r in rows:
+        class_of[np.frombuffer(r["items"], "<u4")] = np.frombuffer(r["classes"], "<i2")
+    return class_of
 
 
 def _h(x: np.ndarray) -> np.ndarray:
@@ -187,38 +337,84 @@ def likelihood(pairs: np.ndarray) -> float:
     return float(_h(pairs).sum() - _h(pairs.sum(0)).sum() - _h(pairs.sum(1)).sum())
 
 
-def exchange(left, right, twice, class_of: np.ndarray, n_classes: int, items) -> np.ndarray:
-    """One sweep: each of ``items`` in turn moves to its best class (the end keeps its own)."""
-    class_of, pairs = class_of.copy(), class_bigrams(left, class_of, n_classes)
-    free = n_classes - 1
+def gains(pairs: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.ndarray, twice: np.ndarray) -> np.ndarray:
+    """Per item (row) and class: the likelihood with the item in that class, up to a constant of the item."""
+    free, rows = len(pairs) - 1, np.arange(len(own))
+    l, r = left.copy(), right.copy()  # noqa: E741
+    l[rows, own] -= twice
+    r[rows, own] -= twice
+    out = np.zeros((len(own), free))
+
+    def add(table, mine, theirs, with_self):
+        # cells of the classes that the item's neighbours have, first without the item, then with it
+        at, c = np.nonzero(mine)
+        cells = table[c, :free]
+        cells[np.arange(len(at)), own[at]] -= with_self[at, c]
+        inside = np.flatnonzero(c == own[at])
+        cells[inside] -= theirs[at[inside], :free]
+        cells[inside, own[at[inside]]] += twice[at[inside]]
+        np.maximum(cells, 0, out=cells)
+        change = _h(cells + mine[at, c][:, None]) - _h(cells)
+        on = np.flatnonzero(c < free)
+        change[on, c[on]] = 0  # the diagonal below
+        if len(at):
+            starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+            out[at[starts]] += np.add.reduceat(change, starts)
+    add(pairs, l, right, left)
+    add(pairs.T, r, left, right)
+    cells = np.tile(pairs.diagonal()[:free], (len(own), 1))
+    cells[rows, own] -= left[rows, own] + right[rows, own] - twice
+    np.maximum(cells, 0, out=cells)
+    out += _h(cells + l[:, :free] + r[:, :free] + twice[:, None]) - _h(cells)
+    for sums, n in ((pairs.sum(1), right.sum(1)), (pairs.sum(0), left.sum(1))):
+        cells = np.tile(sums[:free], (len(own), 1))
+        cells[rows, own] -= n
+        np.maximum(cells, 0, out=cells)
+        out -= _h(cells + n[:, None]) - _h(cells)
+    return out
+
+
+def exchange(left, right, twice, class_of: np.ndarray, n_classes: int, items, pairs: np.ndarray | None = None) -> np.ndarray:
+    """Each of ``items`` in turn moves to its best class (the end keeps its own). ``pairs`` has the
+    class bigrams if the tables lack some items."""
+    class_of = class_of.copy()
+    pairs = class_bigrams(left, class_of, n_classes) if pairs is None else pairs.copy()
     for w in items:
-        n = int(left[w].sum())
-        if not n:
+        if not left[w].any():
             continue
         a, l, r, s = class_of[w], left[w].copy(), right[w].copy(), int(twice[w])  # noqa: E741
+        b = int(gains(pairs, class_of[w:w + 1], left[w:w + 1], right[w:w + 1], twice[w:w + 1])[0].argmax())
+        if a == b:
+            continue
         pairs[:, a] -= l
         pairs[a, :] -= r
         pairs[a, a] += s
         l[a] -= s
         r[a] -= s
-        np.maximum(pairs, 0, out=pairs)  # neighbours that moved in this sweep leave small errors until the recount
-        into, out = pairs[:, :free], pairs[:free, :]
-        gain = (_h(into + l[:, None]) - _h(into)).sum(0) + (_h(out + r[None, :]) - _h(out)).sum(1)
-        own = pairs.diagonal()[:free]
-        lo, ro = l[:free], r[:free]
-        gain += _h(own + lo + ro + s) + _h(own) - _h(own + lo) - _h(own + ro)
-        before, after = pairs.sum(1)[:free], pairs.sum(0)[:free]
-        gain -= _h(before + n) - _h(before) + _h(after + n) - _h(after)
-        b = int(gain.argmax())
         pairs[:, b] += l
         pairs[b, :] += r
         pairs[b, b] += s
+        np.maximum(pairs, 0, out=pairs)  # neighbours that moved in this batch leave small errors until the recount
         class_of[w] = b
     return class_of
 
 
+def kept_moves(count, old: np.ndarray, new: np.ndarray, counted):
+    """As many of the moves from ``old`` to ``new`` as do not lower the likelihood, and the counts with them.
+    ``count`` takes the counts of classes anew; ``counted`` are those of ``old``."""
+    moved, low = np.flatnonzero(new != old), likelihood(counted[3])
+    for k in range(HALVINGS + 1 if len(moved) else 0):
+        some = moved[::1 << k]
+        trial = old.copy()
+        trial[some] = new[some]
+        got = count(trial)
+        if likelihood(got[3]) >= low:
+            return trial, got
+    return old, counted
+
+
 def fit(docs: DataFrame, text: str = "text", *, classes: int = CLASSES, sweeps: int = SWEEPS,
-        items: int = ITEMS, known: int = KNOWN) -> Model:
+        items: int | None = ITEMS, known: int = KNOWN, min_count: int = MIN_COUNT, head: int = HEAD) -> Model:
     """Learns from all rows of ``docs``."""
     spark = docs.sparkSession
     texts = in_small_batches(docs).select(F.col(text).alias("text"))
@@ -226,23 +422,37 @@ def fit(docs: DataFrame, text: str = "text", *, classes: int = CLASSES, sweeps:
     tokens, types = vocabulary.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens = tokens or 0
     # at most ``known`` words have one token in ``known``
-    known_from, item_from = max(1, -(-tokens // known)), max(1, -(-tokens // items))
+    known_from, item_from = max(1, -(-tokens // known)), max(1, min_count, -(-tokens // items) if items else 1)
     top = sorted(((-r["n"], bytes(r["word"])) for r in vocabulary.filter(F.col("n") >= known_from).collect()
                   if r["word"]))
-    words = [w for n, w in top if -n >= item_from]
-    n_words, n_classes = len(words), classes + 1
+    n_top, n_classes = sum(-n >= item_from for n, _ in top), classes + 1
+    more = vocabulary.filter((F.col("n") >= item_from) & (F.col("n") < known_from) & (F.octet_length("word") > 0))
+    more = more.select(F.xxhash64("word").alias("h"), "n").toArrow()  # two numbers an item
+    rarer, at = np.unique(more["h"].to_numpy().view(np.uint64), return_inverse=True)
+    n_words = n_top + len(rarer)
     group_item = lambda w: n_words + group_of(w)
-    table = {w: (i if i < n_words else group_item(w), -n) for i, (n, w) in enumerate(top)}
+    table = {w: (i if i < n_top else group_item(w), -n) for i, (n, w) in enumerate(top)}
     class_of = np.r_[np.arange(n_words + GROUPS) % classes, classes]
 
-    ids = materialize(texts.mapInArrow(_item_ids(spark.sparkContext.broadcast(table), n_words), "ids binary"), "item-ids")
-    for sweep in range(sweeps):
-        left, right, twice = _class_counts(ids, class_of, n_classes)
-        # half of the items at a time, so that neighbours do not swap places together
-        half = [w for w in range(n_words + GROUPS) if sweeps == 1 or (w + sweep) % 2 or sweep == 0]
-        class_of = exchange(left, right, twice, class_of, n_classes, half)
-    left, _, _ = _class_counts(ids, class_of, n_classes)
-    pairs = class_bigrams(left, class_of, n_classes).astype(float)
+    head = min(head, n_top)
+    tops = np.r_[:head, n_words:len(class_of)]  # the items that move in turn, the end behind them
+    with scratch(spark):
+        shared = spark.sparkContext.broadcast((table, rarer))
+        ids = materialize(texts.mapInArrow(_item_ids(shared, n_words), "ids binary"), "item-ids")
+        count = lambda c: _class_counts(ids, c, n_classes, head, n_words)
+        counted = count(class_of)
+        for sweep in range(sweeps):
+            left, right, twice, pairs = counted
+            # half of the items at a time, so that neighbours do not swap places together
+            half = [w for w in range(len(tops) - 1) if sweeps == 1 or (w + sweep) % 2 or sweep == 0]
+            new = class_of.copy()
+            new[tops] = exchange(left, right, twice, class_of[tops], n_classes, half, pairs)
+            class_of, counted = kept_moves(count, class_of, new, counted)
+            for part in (0, 1) if n_words > head else ():
+                new = exchange_rest(ids, class_of, counted[3], n_classes, head, n_words, part)
+                class_of, counted = kept_moves(count, class_of, new, counted)
+        pairs = counted[3].astype(float)
+        shared.destroy()
 
     own = (pairs.sum(0) + 1) / (pairs.sum() + n_classes)
     transition = np.log10((pairs + BACKOFF * own) / (pairs.sum(1, keepdims=True) + BACKOFF))
@@ -253,19 +463,19 @@ def fit(docs: DataFrame, text: str = "text", *, classes: int = CLASSES, sweeps:
               .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).collect()):  # a row per group
         tail[r["g"]] = r["n"], r["types"]
     total, kinds = np.zeros(n_classes), np.zeros(n_classes)
-    counts = np.array([-n for n, _ in top[:n_words]], float)
-    np.add.at(total, class_of[:-1], np.r_[counts, tail[:, 0]])
-    np.add.at(kinds, class_of[:-1], np.r_[np.ones(n_words), tail[:, 1]])
+    counts = np.array([-n for n, _ in top[:n_top]], float)
+    np.add.at(total, class_of[:-1], np.r_[counts, np.bincount(at, more["n"].to_numpy(), len(rarer)), tail[:, 0]])
+    np.add.at(kinds, class_of[:-1], np.r_[np.ones(n_top), np.bincount(at, minlength=len(rarer)), tail[:, 1]])
     unseen = np.zeros(n_classes)
     unseen[class_of[n_words:-1]] = 1
     emitted = np.log10(np.maximum(total + ADD * (kinds + unseen), ADD))
-    return Model(vocabulary, tokens, types, table, known_from, class_of, transition, emitted)
+    return Model(vocabulary, tokens, types, table, known_from, rarer, class_of, transition, emitted)
 
 
 def _score(shared, n_words: int):
     """Per text: tokens, the scores of all it can tell without the full vocabulary, and the rarer words."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, class_of, transition, emitted, base_total, end = shared.value
+        table, rarer, class_of, transition, emitted, base_total, end = shared.value
         logs = {}
         for batch in batches:
             rows, words, times, offsets = [], [], [], [0]  # the rare words of all texts behind each other
@@ -276,7 +486,8 @@ def _score(shared, n_words: int):
                 words += rare
                 times += rare.values()
                 offsets.append(len(words))
-                items = [n_words + group_of(x) if h is None else h[0] for x, h in zip(w, hits)]
+                more = dict(zip(rare, rare_items(list(rare), rarer, n_words)))
+                items = [more[x] if h is None else h[0] for x, h in zip(w, hits)]
                 cls = class_of[np.array([*items, len(class_of) - 1], np.int64)]
                 log_n = 0.0
                 for n in [h[1] for h in hits if h is not None]:
@@ -305,7 +516,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     end = math.log10((ends["n"] if ends else 0) + ADD)
     n_words = len(model.class_of) - 1 - GROUPS
     shared = docs.sparkSession.sparkContext.broadcast(
-        (model.known, model.class_of, model.transition, model.emitted, base_total, end))
+        (model.known, model.rarer, model.class_of.astype(np.int16), model.transition, model.emitted, base_total, end))
     named = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in named.drop("text").schema),
                         "n_tokens long, n_known long, base_score double, score double, "

@@ -1,6 +1,7 @@
 import math
 import random
 from collections import Counter
+from dataclasses import replace
 from zlib import crc32
 
 import numpy as np
@@ -124,6 +125,75 @@ def test_each_move_is_the_best_one():
     assert value(moved) == pytest.approx(max(options))
 
 
+@pytest.mark.parametrize("known", [B.KNOWN, 100])
+def test_rare_words_of_a_large_corpus_are_clustered(make, known):
+    """A word's count alone makes it an item, however many tokens the corpus has."""
+    r = random.Random(4)
+    first, second = ([f"{c}{k}" for k in range(40) for _ in range(10)] for c in "xy")
+    r.shuffle(first)
+    r.shuffle(second)
+    rows = [doc(i, " ".join(w for p in zip(first[i::20], second[i::20]) for w in p)) for i in range(20)]
+    model = B.fit(make(rows + [doc(i, "the of " * 20_000) for i in range(2000, 2018)]), classes=6, known=known, sweeps=8)
+    n_words = len(model.class_of) - 1 - B.GROUPS
+    assert model.tokens > 10 * 65_279 and n_words == 82 and len(model.rarer) == (0 if known == B.KNOWN else 80)
+    item = {w: model.known[w][0] if w in model.known else B.rare_items([w], model.rarer, n_words)[0]
+            for w in (f"{c}{k}".encode() for c in "xy" for k in range(40))}
+    assert len({*item.values()}) == 80 and max(item.values()) < n_words
+    cls = [np.bincount([model.class_of[i] for w, i in item.items() if w[:1] == c], minlength=6) for c in (b"x", b"y")]
+    assert np.minimum(*cls).sum() <= 4  # words that share a class with the other kind
+
+
+def test_a_batch_that_lowers_the_likelihood_is_cut():
+    """Two words that swap their classes side by side: one of them moves."""
+    bigrams = np.array([[0, 9, 0, 1], [9, 0, 0, 1], [0, 0, 5, 1], [1, 1, 1, 0]])
+
+    def count(classes):
+        one = np.eye(4, dtype=int)[classes]
+        return None, None, None, one.T @ bigrams @ one
+    old, worse = np.array([0, 1, 2, 3]), np.array([2, 2, 2, 3])
+    value = lambda c: B.likelihood(count(c)[3])
+    assert value(worse) < value(old)
+    kept, counted = B.kept_moves(count, old, worse, count(old))
+    assert value(kept) >= value(old) and B.likelihood(counted[3]) == value(kept)
+
+
+def test_rarer_items_score_like_known_ones(make):
+    """The same classes, with all words in the tasks' table or found by their hashes."""
+    df = make([doc(i, prose(i, 40)) for i in range(60)] + EDGES)
+    train = df.filter(~B.held_out(F.col("doc_id")))
+    model = B.fit(train, classes=6, known=20, min_count=2)
+    n_words = len(model.class_of) - 1 - B.GROUPS
+    vocabulary = [(bytes(r.word), r.n) for r in model.vocabulary.collect() if r.word]
+    assert len(model.rarer) > 100 and n_words == sum(n >= 2 for _, n in vocabulary)
+    full = {w: (B.rare_items([w], model.rarer, n_words)[0] if w not in model.known else model.known[w][0], n) for w, n in vocabulary}
+    want = _brute([tuple(r) for r in df.collect()], replace(model, known=full))
+    got = B.score(df, model).select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()
+    key = lambda r: (repr(r[0]), r[1])
+    for g, w in zip(sorted(map(tuple, got), key=key), sorted(want, key=key)):
+        assert g[:4] == w[:4] and g[4:] == pytest.approx(w[4:], rel=1e-9)
+
+
+def test_gains_equal_the_change_of_the_likelihood():
+    r = np.random.default_rng(5)
+    n, k = 30, 5
+    bigrams = r.integers(0, 6, (n, n)) * (r.random((n, n)) < 0.4)
+    class_of = np.r_[r.integers(0, k - 1, n - 1), k - 1]
+
+    def tables(classes):
+        one = np.eye(k, dtype=int)[classes]
+        return bigrams.T @ one, bigrams @ one
+    left, right = tables(class_of)
+    pairs = B.class_bigrams(left, class_of, k)
+    got = B.gains(pairs, class_of[:-1], left[:-1], right[:-1], bigrams.diagonal()[:-1])
+    for w in range(n - 1):
+        value = []
+        for c in range(k - 1):
+            other = class_of.copy()
+            other[w] = c
+            value.append(B.likelihood(B.class_bigrams(tables(other)[0], other, k)))
+        assert got[w] - got[w, 0] == pytest.approx(np.array(value) - value[0], abs=1e-6)
+
+
 def test_no_training_text(make):
     df = make(EDGES)
     model = B.fit(df.filter("false"))
