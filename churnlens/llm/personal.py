@@ -4,13 +4,18 @@ Patterns find emails, ip addresses, cards and phones in the whole text. The
 field then looks for further mentions that no pattern sees, such as a card
 number repeated without its check digits' spacing or the local part of an email
 that occurs elsewhere. Its nodes are the document's tokens with a digit or an
-``@``; neighbouring tokens share a transition potential, and each token shares a
-skip potential with the next repeated or similar token, however far apart (same
-digits, or the same local part). Tokens under a pattern are observed; loopy
+``@`` and all tokens that equal the local part of one of its emails (letters only
+or not); neighbouring tokens share a transition potential, and each token shares a
+skip potential with the next repeated or similar token, however far apart (the same
+token of any length, the same digits, or the same local part of at least MIN_LOCAL
+characters). A run of digit groups that repeats a card's or phone's digits, or a
+phone's last groups, shares one with that span, leading zeros aside, group by group;
+one group of a spaced number alone does not.
+Tokens under a pattern are observed; loopy
 message passing carries their labels along both kinds of edges, and a token is
 added when its marginal for a kind exceeds ``THRESHOLD``. Only tokens connected
 to an observed one by skip edges can be added, so a lone number that no pattern
-accepts is left alone.
+accepts, such as 16 digits with a wrong check digit, is left alone.
 
 Skip edges join each token to the next similar one, so k mentions have k - 1
 edges. Documents are handled one by one in Arrow batches; nothing is shuffled.
@@ -45,6 +50,10 @@ THRESHOLD = 0.5
 #: Prior mean of the skip potential, in nats; the sample moves it as far as it holds similar tokens.
 SKIP_PRIOR = 5.0
 ROUNDS = 20
+#: Shorter local parts would make mentions of common words.
+MIN_LOCAL = 3
+#: Digits of a run that is compared with the observed numbers.
+RUN_DIGITS = (7, 19)
 EMAIL_LOCAL = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*")
@@ -54,7 +63,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")
+_ANY_TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+_GROUPS = re.compile(r"[+().0-9-]*[0-9][+().0-9-]*")
 _EDGE = ".,;:!?()[]{}<>\"'"
 
 Span = tuple[int, int, int]  # start, index of kind, end
@@ -103,11 +114,21 @@ def _keys(token: str) -> list[str]:
     if len(digits) >= 7:
         keys.append(digits)
     local = token.strip(_EDGE).lower().partition("@")[0]
-    if len(local) >= 5 and not local.isdigit():
+    if len(local) >= MIN_LOCAL and not local.isdigit():
         keys.append("@" + local)
+    if same := token.strip(_EDGE):
+        keys.append("=" + same)
     return keys
 
 
+def _numbers(span: Span, text: str) -> set[str]:
+    """What a run of digit groups may repeat of a card or phone: all its digits, or a phone's last groups."""
+    low, high = RUN_DIGITS
+    groups = re.findall("[0-9]+", text[span[0]:span[2]]) if span[1] in (2, 3) else []
+    ends = ["".join(groups[k:]).lstrip("0") for k in range(len(groups) if span[1] == 3 else min(1, len(groups)))]
+    return {x for x in ends if low <= len(x) <= high}
+
+
 def _kind(c: str) -> str:
     return "digit" if c.isdigit() else "letter" if c.isalpha() else c
 
@@ -128,12 +149,19 @@ class Graph:
     """A document's tokens: places, observed labels (-1: none), features and edges."""
 
     def __init__(self, text: str, spans: list[Span]):
-        self.places = [m.span() for m in _TOKEN.finditer(text)]
+        locals_ = {x for s, k, e in spans if k == 0 and len(x := text[s:e].partition("@")[0].lower()) >= MIN_LOCAL}
+        if any(not _TOKEN.search(x) for x in locals_):
+            self.places = [m.span() for m in _ANY_TOKEN.finditer(text)
+                           if _TOKEN.match(m[0]) or m[0].strip(_EDGE).lower() in locals_]
+        else:
+            self.places = [m.span() for m in _TOKEN.finditer(text)]
         self.labels = np.full(len(self.places), -1)
         k = 0
         starts = sorted(spans)
         reach = []  # spans that may cover the current token
         whole: dict[int, list[str]] = {}  # last token of a span -> the span's keys
+        numbers: dict[str, int] = {}  # digits of a card or phone -> the span's last token
+        parts = set()  # tokens that are one group of a span: the group alone is no mention
         for i, (s, e) in enumerate(self.places):
             while k < len(starts) and starts[k][0] < e:
                 reach.append(starts[k])
@@ -141,7 +169,10 @@ class Graph:
             reach = [x for x in reach if x[2] > s]
             if reach:
                 self.labels[i] = reach[0][1] + 1
+                if any(x[0] < s or x[2] > e for x in reach):
+                    parts.add(i)
                 whole[i] = [key for x in reach if x[2] <= e for key in _keys(text[x[0]:x[2]])]
+                numbers |= {n: i for x in reach if x[2] <= e for n in _numbers(x, text)}
         tokens = [text[s:e] for s, e in self.places]
         # neighbours: one white-space character apart
         self.chain = [i for i in range(len(tokens) - 1) if self.places[i + 1][0] - self.places[i][1] == 1]
@@ -151,11 +182,31 @@ class Graph:
         skips = set()
         for i, t in enumerate(tokens):
             for key in dict.fromkeys([*_keys(t), *whole.get(i, ())]):
+                if i in parts and key[0] == "=":
+                    continue
                 if key in last:
                     skips.add((last[key], i))
                 last[key] = i
+        if numbers:
+            skips |= self._runs(tokens, numbers)
         self.skips = sorted(skips)
 
+    def _runs(self, tokens: list[str], numbers: dict[str, int]) -> set[tuple[int, int]]:
+        """Edges from the tokens of runs of digit groups to the spans whose digits they repeat."""
+        digits = [_NOT_DIGIT.sub("", t) if _GROUPS.fullmatch(t.strip(_EDGE)) and self.labels[i] < 0 else ""
+                  for i, t in enumerate(tokens)]
+        follows, out = set(self.chain), set()
+        for end in range(len(tokens)):
+            run, k = digits[end], end
+            while digits[k] and len(run) <= RUN_DIGITS[1] + 3:
+                if (span := numbers.get(run.lstrip("0"))) is not None:
+                    out |= {(min(span, i), max(span, i)) for i in range(k, end + 1)}
+                if k == 0 or k - 1 not in follows:
+                    break
+                k -= 1
+                run = digits[k] + run
+        return out
+
     def reached(self) -> np.ndarray:
         """Tokens that skip edges connect to an observed one."""
         root = list(range(len(self.places)))
@@ -253,7 +304,8 @@ def added_spans(text: str, spans: list[Span], field: Field) -> list[Span]:
         kind = int(p[i, 1:].argmax())
         if s >= e:
             continue
-        if out and out[-1][1] == kind and s - out[-1][2] == 1:
+        gap = text[out[-1][2]:s] if out and out[-1][1] == kind else ""
+        if len(gap) == 1 or KINDS[kind] == "phone" and gap in (") ", " (", ") ("):
             out[-1] = (out[-1][0], kind, e)
         else:
             out.append((s, kind, e))

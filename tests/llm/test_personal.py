@@ -55,6 +55,24 @@ def test_field_adds_similar_mentions_only():
     assert P.added_spans("12345678 and 4111111111111112 twice 4111111111111112", [], field) == []
 
 
+@pytest.mark.parametrize("text,want", [
+    ("john.smith@example.com wrote. " + prose(2, 200) + " (John.Smith) said", [("email", "John.Smith")]),
+    ("ann@example.com wrote, said ann, not anna", [("email", "ann")]),
+    ("Call +44 20 7946 0958 or " + prose(1, 99) + " 020 7946 0958 now", [("phone", "020 7946 0958")]),
+    ("+1 (988) 555-2485 is (988) 555-2485, not (989) 555-2486", [("phone", "988) 555-2485")]),
+    ("card 4111 1111 1111 1111, again 411111 1111111111 there, and 1111 times", [("card", "411111 1111111111")]),
+])
+def test_letters_and_spaced_numbers_are_linked(text, want):
+    field = P.Field(np.zeros((P.FEATURES, P.LABELS)), np.zeros((P.LABELS, P.LABELS)), P.SKIP_PRIOR)
+    base = [s for s in P.base_spans(text) if s[2] <= text.rindex(want[0][1])]
+    assert base and [(P.KINDS[k], text[s:e]) for s, k, e in P.added_spans(text, base, field)] == want
+
+
+def test_repeated_short_tokens_are_linked():
+    assert P.Graph("a1 word x2 other a1", []).skips == [(0, 2)]
+    assert len(P.Graph("+49 30 1234567 " + "1 " * 3000, P.base_spans("+49 30 1234567 ")).skips) < 4000
+
+
 def test_messages_are_exact_on_trees():
     """On a graph without cycles the marginals equal the sum over all labelings."""
     r = np.random.default_rng(1)
