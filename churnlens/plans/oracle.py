@@ -440,6 +440,7 @@ ORACLE: dict[str, str] = {
                              ["avg_sess_p_day", "avg_length", "avg_items_p_sess", "avg_sess_len", *PAGE_COLS]),
     "cancelled_users": w() + CANCELLED_IDS,
     "loyal_users": w() + LOYAL_IDS,
+    "loyal_events_all": w() + f"SELECT * FROM cleaned WHERE userId IN ({LOYAL_IDS})",
     "loyal_events": w() + f"SELECT userId, ts, page FROM cleaned WHERE userId IN ({LOYAL_IDS})",
     "gender_by_churn": w() + GENDERS,
     "system_by_churn": w("p AS (SELECT churn, userId, MAX(userSystem) AS pref_user_system FROM cleaned GROUP BY churn, userId)")

@@ -31,7 +31,7 @@ from churnlens.plans.train_job import run_training
 from churnlens.schema import FEATURE_PAGES, RAW_COLUMNS
 from churnlens.session import ensure_core_conf, scratch_path
 from churnlens.sources import (
-    events_as_event_log, events_with_nulls, load_model, read_event_log, read_metrics,
+    events_as_event_log, events_with_nulls, load_model, read_event_log, read_fold_scores, read_metrics,
     read_parquet, save_model, write_event_log_json, write_metrics, write_parquet,
 )
 
@@ -195,15 +195,26 @@ def q_feature_job(spark, sf):
     return rounded(parts[0].unionByName(parts[1]).drop("pref_user_system_ohe"))
 
 
-def q_evaluate_job(spark, sf):
-    """Train, save, evaluate as jobs; the metrics record as written next to the model."""
+def _trained(spark, sf):
+    """Paths of the validation table and of a model that the training job saved."""
     train_path, validation_path = _job_tables(spark, sf)
     model_path = scratch_path(spark, "job-model")
-    run_training(spark, "nb", train_path, model_path, cross_validate=False)
+    run_training(spark, "nb", train_path, model_path)
+    return validation_path, model_path
+
+
+def q_evaluate_job(spark, sf):
+    """Train, save, evaluate as jobs; the metrics record as written next to the model."""
+    validation_path, model_path = _trained(spark, sf)
     run_evaluation(spark, validation_path, model_path)
     return rounded(read_metrics(spark, {"nb": model_path}).drop("Path"))
 
 
+def q_training_job_scores(spark, sf):
+    """The fold scores that the training job writes beside the model."""
+    return read_fold_scores(spark, _trained(spark, sf)[1])
+
+
 def q_ordered_shares(spark, sf):
     """The loyal users' hour shares with their place in the output's order."""
     rows = q_share("hour", X.loyal)(spark, sf).coalesce(1).withColumn("place", F.monotonically_increasing_id())
@@ -276,6 +287,11 @@ def q_loyal_events(spark, sf):
     return rows_of_users(c, X.loyal_users(c)).select("userId", "ts", "page")
 
 
+def q_loyal_events_all(spark, sf):
+    c = cleaned(spark, sf)
+    return rows_of_users(c, X.loyal_users(c))
+
+
 def q_share(bucket, group):
     return lambda spark, sf: rounded(X.bucket_share(cleaned(spark, sf), bucket, group()))
 
@@ -489,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "clean_job": q_clean_job,
     "feature_job": q_feature_job,
     "evaluate_job": q_evaluate_job,
+    "training_job_scores": q_training_job_scores,
     # per-user features
     "user_label": q_user_label,
     "avg_sess_p_day": q_feature(FE.avg_sess_p_day),
@@ -508,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "cancelled_users": q_explore(X.cancelled_users),
     "loyal_users": q_explore(X.loyal_users),
     "loyal_events": q_loyal_events,
+    "loyal_events_all": q_loyal_events_all,
     "gender_by_churn": q_explore(X.gender_by_churn),
     "system_by_churn": q_system_by_churn,
     "system_share": q_explore(X.system_share),

@@ -61,6 +61,12 @@ def write_fold_scores(spark: SparkSession, model_path: str, means: list[float],
     return path
 
 
+def read_fold_scores(spark: SparkSession, model_path: str) -> DataFrame:
+    """What ``write_fold_scores`` wrote: ``param_map, f1_mean, f1_std``."""
+    return spark.read.schema("param_map int, f1_mean double, f1_std double").json(
+        model_path.rstrip("/") + "/fold_scores.json")
+
+
 def read_metrics(spark: SparkSession, model_paths: dict[str, str]) -> DataFrame:
     """Read the metrics records of several models, tagged with the algorithm.
 

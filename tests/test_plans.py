@@ -86,3 +86,18 @@ def test_exploration_job_writes_every_comparison(spark):
     shares = read_parquet(spark, f"{root}/out/hour_share_loyal")
     assert shares.count() == 24
     assert read_parquet(spark, f"{root}/out/hist_lifetime").agg(F.sum("cnt")).first()[0] == 141
+
+
+def test_training_job_scores_are_read_back(spark):
+    """The job runs as shipped: cross-validated, its fold scores beside the model."""
+    from churnlens.plans.registry import QUERIES
+
+    got = QUERIES["training_job_scores"](spark, "/root/testdata/sf0.001").collect()
+    assert [r.param_map for r in got] == list(range(len(got))) and got
+    assert all(0 < r.f1_mean <= 1 and r.f1_std >= 0 for r in got)
+
+
+def test_loyal_events_all_has_every_column(spark):
+    from churnlens.plans.registry import QUERIES, cleaned
+
+    assert set(QUERIES["loyal_events_all"](spark, "/root/testdata/sf0.001").columns) == set(cleaned(spark, "/root/testdata/sf0.001").columns)
