@@ -11,6 +11,7 @@ from churnlens.llm.pieces import op6_sentencepiece
 from churnlens.llm.quality import OP3_SQL, op3_quality_rules
 from churnlens.llm.sharding import OP10_SQL, op10_sharding
 from churnlens.llm.simhash import op2_simhash
+from churnlens.llm.token_counts import op12_token_counts
 from churnlens.llm.url_filter import OP1_SQL, op1_url_filters
 
 QUERIES = {
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_sharding": op10_sharding,
+    "op12_token_counts": op12_token_counts,
 }
 ORACLE = {
     "op1_url_filters": OP1_SQL,
