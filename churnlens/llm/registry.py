@@ -13,6 +13,7 @@ from churnlens.llm.sharding import OP10_SQL, op10_sharding
 from churnlens.llm.simhash import op2_simhash
 from churnlens.llm.token_counts import op12_token_counts
 from churnlens.llm.url_filter import OP1_SQL, op1_url_filters
+from churnlens.llm.vector_codes import OP11_SQL, op11_vector_codes
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_sharding": op10_sharding,
+    "op11_vector_codes": op11_vector_codes,
     "op12_token_counts": op12_token_counts,
 }
 ORACLE = {
@@ -33,4 +35,5 @@ ORACLE = {
     "op4_mixing": OP4_SQL,
     "op8_line_dedup": OP8_SQL,
     "op10_sharding": OP10_SQL,
+    "op11_vector_codes": OP11_SQL,
 }
