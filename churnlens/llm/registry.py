@@ -8,6 +8,7 @@ from churnlens.llm.lsh_search import op5_nearest
 from churnlens.llm.mixing import OP4_SQL, op4_mixing
 from churnlens.llm.personal import op9_personal_data
 from churnlens.llm.pieces import op6_sentencepiece
+from churnlens.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from churnlens.llm.quality import OP3_SQL, op3_quality_rules
 from churnlens.llm.sharding import OP10_SQL, op10_sharding
 from churnlens.llm.simhash import op2_simhash
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_vector_codes": op11_vector_codes,
     "op12_token_counts": op12_token_counts,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLE = {
     "op1_url_filters": OP1_SQL,
@@ -36,4 +38,5 @@ ORACLE = {
     "op8_line_dedup": OP8_SQL,
     "op10_sharding": OP10_SQL,
     "op11_vector_codes": OP11_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }

@@ -26,4 +26,4 @@ def test_query_equals_sql(spark, name, sf):
 
 def test_every_query_is_there():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
