@@ -7,6 +7,11 @@
     python -m churnlens compare  -m svm=models/svm lr=models/lr ...
     python -m churnlens explore  -i cleaned.parquet -o exploration/
 
+The two workflows, with a ledger so that a rerun goes on after the last finished step:
+
+    python -m churnlens preprocess -i log.json -c cleaned.parquet -t train.parquet -v validation.parquet --ledger ledger/
+    python -m churnlens models -t train.parquet -v validation.parquet -o models/ --ledger ledger/
+
 Runs where it is submitted: only runtime SQL settings are set here.
 """
 
@@ -39,8 +44,9 @@ def main(argv: list[str] | None = None) -> int:
                    help="fail on lines that do not fit the schema, or keep them beside the output")
     f = sub.add_parser("features")
     f.add_argument("-i", "--input", required=True)
-    f.add_argument("-t", "--traintest", required=True)
-    f.add_argument("-v", "--validation", required=True)
+    f.add_argument("-t", "--traintest")
+    f.add_argument("-v", "--validation")
+    f.add_argument("--publish", help="instead of -t and -v: a folder where both tables are published as one commit")
     f.add_argument("--split", default="hash", choices=["hash", "random"])
     f.add_argument("--mode", default="errorifexists")
     t = sub.add_parser("train")
@@ -56,7 +62,19 @@ def main(argv: list[str] | None = None) -> int:
     x.add_argument("--mode", default="errorifexists")
     m = sub.add_parser("compare")
     m.add_argument("-m", "--models", nargs="+", required=True, help="algo=path ...")
+    w = sub.add_parser("preprocess")
+    for flag, name in (("-i", "--input_file"), ("-c", "--cleaned"), ("-t", "--traintest"), ("-v", "--validation"), (None, "--ledger")):
+        w.add_argument(*[x for x in (flag, name) if x], required=True)
+    w.add_argument("--format", default="json")
+    w.add_argument("--until", help="the last step to run")
+    n = sub.add_parser("models")
+    for flag, name in (("-t", "--traintest"), ("-v", "--validation"), ("-o", "--model_root"), (None, "--ledger")):
+        n.add_argument(*[x for x in (flag, name) if x], required=True)
+    n.add_argument("-a", "--algos", nargs="+", default=None)
+    n.add_argument("--until")
     args = p.parse_args(argv)
+    if args.job == "features" and not args.publish and not (args.traintest and args.validation):
+        p.error("features needs -t and -v, or --publish")
 
     spark = _session()
     if args.job == "clean":
@@ -64,9 +82,23 @@ def main(argv: list[str] | None = None) -> int:
         run_clean(spark, args.input_file, args.output_file, fmt=args.format, mode=args.mode,
                   bad_lines=args.bad_lines)
     elif args.job == "features":
-        from churnlens.plans.feature_job import run_features
-        run_features(spark, args.input, args.traintest, args.validation, method=args.split,
-                     mode=args.mode)
+        from churnlens.plans.feature_job import publish_features, run_features
+        if args.publish:
+            publish_features(spark, args.input, args.publish, method=args.split)
+        else:
+            run_features(spark, args.input, args.traintest, args.validation, method=args.split, mode=args.mode)
+    elif args.job == "preprocess":
+        from churnlens.plans.workflows import preprocess
+        for step in preprocess(spark, args.input_file, args.cleaned, args.traintest, args.validation, fmt=args.format,
+                               ledger=args.ledger, until=args.until):
+            print(*step)
+    elif args.job == "models":
+        from churnlens.operators.ml import ALGORITHMS
+        from churnlens.plans.workflows import train_and_evaluate
+        table = train_and_evaluate(spark, args.traintest, args.validation, args.model_root,
+                                   tuple(args.algos or ALGORITHMS), ledger=args.ledger, until=args.until)
+        if table is not None:
+            table.show(truncate=False)
     elif args.job == "train":
         from churnlens.plans.train_job import run_training
         run_training(spark, args.algo, args.input_data, args.output_model)

@@ -11,6 +11,7 @@ from churnlens.operators.ml import encode_systems
 from churnlens.operators.split import split_column, train_validation_split, with_class_weights
 from churnlens.session import ensure_core_conf, scratch
 from churnlens.sources import read_parquet, write_parquet
+from churnlens.sources.table_sets import publish
 
 
 def feature_table(cleaned: DataFrame) -> DataFrame:
@@ -45,3 +46,12 @@ def run_features(spark: SparkSession, cleaned_path: str, train_path: str,
         write_parquet(train, train_path, mode)
         write_parquet(validation, validation_path, mode)
     return train_path, validation_path
+
+
+def publish_features(spark: SparkSession, cleaned_path: str, root: str, *, method: str = "hash") -> int:
+    """The feature job with its two tables published together below ``root``, as ``train`` and
+    ``validation``: a reader sees both of a run or none. The version's number."""
+    ensure_core_conf(spark)
+    with scratch(spark):
+        train, validation = weighted_split(feature_table(read_parquet(spark, cleaned_path)), method)
+        return publish(spark, root, {"train": train, "validation": validation})
