@@ -37,6 +37,10 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
 }
 
+#: For a session that trains several models at a time (to be set when it starts): jobs of
+#: different pools share the executors.
+FAIR_CONF = {"spark.scheduler.mode": "FAIR"}
+
 #: Upper bound of rows for a side that may be broadcast (see operators.joins).
 MAX_BROADCAST_ROWS_KEY = "spark.churnlens.maxBroadcastRows"
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000  # ~60 MB of (userId, count) pairs
