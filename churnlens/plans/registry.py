@@ -574,6 +574,3 @@ QUERIES: dict[str, Query] = {
     "model_roundtrip": q_model_roundtrip,
     "model_comparison": q_model_comparison,
 }
-
-#: Queries without a SQL oracle: none.
-ROWS_ONLY: set[str] = set()
