@@ -1,11 +1,14 @@
 """Quality rules with host-level verdicts.
 
 Each document is judged by simple rules over its whole text; the failures are
-aggregated by host (the ``source`` of ``documents``), each host's failure rate
+aggregated by host (the ``source`` of ``documents``) and each host's failure rate
 is shrunk towards the corpus by a beta prior fitted to the hosts (empirical
-Bayes, method of moments), and hosts whose shrunk rate exceeds ``max_rate`` are
-rejected with all their documents. A host with few documents stays near the
-corpus rate, so one bad document does not condemn it.
+Bayes, method of moments). A host with few documents stays near the corpus rate, so
+one bad document does not condemn it. The shrunk rate is the prior chance that a
+document of the host is bad; a document that fails a rule of its own multiplies the odds by
+``RULE_ODDS``; it goes when the odds are above those of ``max_rate``. So a host whose rate exceeds
+``max_rate`` loses all its documents, another one those that also fail a rule,
+and a host that hardly ever fails keeps even these.
 
 The rules run as one Arrow-batched function on the text column (one pass, no
 shuffle of text). The host table is a partial aggregate, one row per task and
@@ -13,9 +16,11 @@ host, so a host that holds a third of all rows costs nothing extra; joining
 the verdicts back is left to Spark, which broadcasts the host table when its
 measured size allows.
 
-Defined results: null and empty texts have no words and fail; a null host is a
-host of its own; repeated rows are judged alike and each counts; an empty
-table gives an empty table.
+Defined results: null and empty texts have no words and fail; texts of any length are judged as a
+whole; a null host is a host of its own; repeated rows are judged alike and each counts; an
+empty table gives an empty table. ``keep_good`` returns all columns as they were, whatever their
+names; ``judge_documents`` adds columns that begin with two underscores and replaces such of
+the same name.
 """
 
 from __future__ import annotations
@@ -24,24 +29,27 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from churnlens.llm.text import WHITE, in_small_batches, words
+from churnlens.llm.text import WHITE, field, in_small_batches, packed, unpacked, words
 from churnlens.operators.joins import materialize
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MAX_SYMBOLS_PER_WORD = 0.5
+MAX_SYMBOLS_PER_WORD = 0.25
+#: Share of a text's lines (those with a word) that equal an earlier one.
 MAX_DUP_LINE_SHARE = 0.5
 #: Hosts whose shrunk failure rate is above this are rejected.
 MAX_HOST_RATE = 0.5
+#: How much more often bad documents than good ones fail a rule beyond base.
+RULE_ODDS = 20.0
 #: Bounds of the prior's strength (alpha + beta), in documents.
 PRIOR_DOCS = (2.0, 1000.0)
 
 SYMBOLS = "#*$%&|<>"
-STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
 
 def repeated_words(w: list[bytes]) -> int:
@@ -57,33 +65,33 @@ def repeated_words(w: list[bytes]) -> int:
     return sum(hit)
 
 
-def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
+def text_stats(text: str | None) -> tuple[int, int, int, int, int, int]:
     if not text:
-        return 0, 0, 0, 0, 0
+        return 0, 0, 0, 0, 0, 0
     w = words(text)
     lines = [x for x in text.split("\n") if x.strip(WHITE)]
     return (len(w), len(text) - sum(map(text.count, WHITE)), sum(map(text.count, SYMBOLS)),
-            len(lines) - len(set(lines)), repeated_words(w))
+            len(lines) - len(set(lines)), repeated_words(w), len(lines))
 
 
 def _stats(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         yield pd.DataFrame([text_stats(t) for t in texts],
-                           columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
+                           columns=[c.split()[0] for c in STATS.split(", ")])
 
 
 def with_rules(docs: DataFrame, text: str = "text", at: str = "__q") -> DataFrame:
-    """``docs`` with a struct column: the five counts, base_failed and failed (any rule)."""
+    """``docs`` with a struct column: the counts, base_failed, rule_failed (one beyond base) and failed (any)."""
     q = F.col(at)
     base = (q["n_words"] < MIN_WORDS) | (100 * q["n_repeat_words"] > MAX_REPEAT_PERCENT * q["n_words"])
     more = ((q["n_symbols"] > MAX_SYMBOLS_PER_WORD * q["n_words"])
-            | (q["n_dup_lines"] > MAX_DUP_LINE_SHARE * q["n_words"]))
+            | (q["n_dup_lines"] > MAX_DUP_LINE_SHARE * q["n_lines"]))
     return (in_small_batches(docs).withColumn(at, pandas_udf(_stats, STATS)(F.col(text)))
-            .withColumn(at, q.withField("base_failed", base).withField("failed", base | more)))
+            .withColumn(at, q.withField("base_failed", base).withField("rule_failed", more).withField("failed", base | more)))
 
 
-def host_verdicts(judged: DataFrame, host: str, failed, max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """One row per host: __host, __rate (shrunk failure rate), __host_ok.
+def host_rates(judged: DataFrame, host: str, failed) -> DataFrame:
+    """One row per host: __host, __rate (shrunk failure rate).
 
     Prior: mean m = all failures / all documents; the variance of the hosts'
     rates beyond binomial noise, v, gives the strength m (1 - m) / v - 1, held
@@ -99,7 +107,13 @@ def host_verdicts(judged: DataFrame, host: str, failed, max_rate: float = MAX_HO
     low, high = PRIOR_DOCS
     strength = min(high, max(low, mean * (1 - mean) / between - 1)) if between > 0 else high
     rate = (F.col("__k") + F.lit(mean * strength)) / (F.col("__n") + F.lit(strength))
-    return hosts.select("__host", rate.alias("__rate"), (rate <= max_rate).alias("__host_ok"))
+    return hosts.select("__host", rate.alias("__rate"))
+
+
+def verdict(rate: Column, rule_failed: Column, max_rate: float = MAX_HOST_RATE) -> Column:
+    """Whether a document that passes base stays, given its host's rate and its own rules."""
+    odds = F.when(rule_failed, F.lit(RULE_ODDS)).otherwise(1.0) * rate * (1 - max_rate)
+    return odds <= (1 - rate) * max_rate
 
 
 def judge_documents(docs: DataFrame, text: str = "text", host: str = "source", *,
@@ -110,24 +124,31 @@ def judge_documents(docs: DataFrame, text: str = "text", host: str = "source", *
     neither shuffled nor written.
     """
     judged = with_rules(docs, text)
-    hosts = host_verdicts(judged, host, F.col("__q.failed"), max_rate)
+    hosts = host_rates(judged, host, F.col("__q.failed"))
     return (judged.join(hosts, F.col(host).eqNullSafe(F.col("__host")), "left")
-            .withColumn("__kept", ~F.col("__q.base_failed") & F.coalesce("__host_ok", F.lit(True))))
+            .withColumn("__kept", ~F.col("__q.base_failed") & verdict(F.col("__rate"), F.col("__q.rule_failed"), max_rate)))
 
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """The rows that the rules and their host's verdict keep, columns unchanged."""
-    return judge_documents(docs, text, host).filter("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows that the rules and their host's verdict keep, columns unchanged, whatever their names.
+
+    The rules run once: their verdicts are written with the rows and read again for the hosts'."""
+    rows = packed(docs).withColumns({"text": field(docs, text), "host": field(docs, host)})
+    judged = materialize(with_rules(rows, "text").select("row", "host", "__q.base_failed", "__q.rule_failed", "__q.failed"), "judged")
+    hosts = host_rates(judged, "host", F.col("failed"))
+    kept = judged.filter("NOT base_failed").join(hosts, F.col("host").eqNullSafe(F.col("__host")), "left")
+    return unpacked(kept.filter(verdict(F.col("__rate"), F.col("rule_failed"))), docs)
 
 
 def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     stats = materialize(with_rules(docs).select("doc_id", "source", "__q"), "rules")
-    hosts = host_verdicts(stats, "source", F.col("__q.failed"))
+    hosts = host_rates(stats, "source", F.col("__q.failed"))
     return (stats.join(hosts, F.col("source").eqNullSafe(F.col("__host")), "left")
             .select("doc_id", "__q.n_words", "__q.word_chars", "__q.n_symbols", "__q.n_dup_lines",
                     "__q.n_repeat_words", "__q.base_failed",
-                    (~F.col("__q.base_failed") & F.coalesce("__host_ok", F.lit(True))).alias("kept")))
+                    (~F.col("__q.base_failed") & verdict(F.col("__rate"), F.col("__q.rule_failed"))).alias("kept"),
+                    "__q.rule_failed", F.round("__rate", 9).alias("host_rate")))
 
 
 OP3_SQL = r"""
@@ -142,19 +163,21 @@ hit AS (SELECT r, count(DISTINCT word) AS n FROM (SELECT r, i + unnest([0, 1, 2]
 s AS (SELECT w.r, doc_id, source, len(ws)::BIGINT AS n_words,
              length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
              length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
-             (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+             (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines,
              coalesce(hit.n, 0)::BIGINT AS n_repeat_words
       FROM w LEFT JOIN hit ON w.r = hit.r),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s),
-f AS (SELECT *, base_failed OR n_symbols > 0.5 * n_words OR n_dup_lines > 0.5 * n_words AS failed FROM b),
+f AS (SELECT *, base_failed OR rule_failed AS failed
+      FROM (SELECT *, n_symbols > 0.25 * n_words OR n_dup_lines > 0.5 * n_lines AS rule_failed FROM b)),
 h AS (SELECT source, count(*) AS n, sum(failed::INT) AS k FROM f GROUP BY source),
 m AS (SELECT sum(n) AS n, count(*) AS hs, sum(k) / sum(n) AS mean FROM h),
 v AS (SELECT mean, (sum(h.n * pow(k / h.n - mean, 2)) - mean * (1 - mean) * any_value(hs)) / any_value(m.n) AS extra
       FROM h, m GROUP BY mean),
 p AS (SELECT mean, CASE WHEN extra > 0 THEN least(1000.0, greatest(2.0, mean * (1 - mean) / extra - 1))
                         ELSE 1000.0 END AS strength FROM v),
-bad AS (SELECT source FROM h, p WHERE (k + mean * strength) / (n + strength) > 0.5)
+r AS (SELECT source, (k + mean * strength) / (n + strength) AS rate FROM h, p)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM f.source) AS kept
-FROM f
+       NOT base_failed AND CASE WHEN rule_failed THEN 20 ELSE 1 END * rate * 0.5 <= (1 - rate) * 0.5 AS kept,
+       rule_failed, round(rate, 9) AS host_rate
+FROM f JOIN r ON r.source IS NOT DISTINCT FROM f.source
 """

@@ -49,3 +49,38 @@ def test_clashing_columns_and_empty(make):
     df = make([doc(1, prose(1))]).withColumnRenamed("lang", "failed").withColumnRenamed("n_chars", "n_words")
     assert keep_good(df).columns == df.columns and keep_good(df).count() == 1
     assert keep_good(make([])).collect() == []
+
+
+def test_rule_and_host_together_decide(make):
+    """A document with many signs goes with a host that often fails, and stays with one that never does."""
+    signs = prose(5) + " #" * 40
+    rows = [doc(i, "short" if i % 4 == 0 else prose(i), "often") for i in range(200)]
+    rows += [doc(1000 + i, prose(i), "never") for i in range(800)]
+    rows += [doc(3000, signs, "often"), doc(3001, signs, "never"), doc(3002, prose(8) + "\n" + "\n".join(["one line"] * 9), "often")]
+    kept = {r.doc_id for r in keep_good(make(rows)).collect()}
+    assert 3001 in kept and not {3000, 3002} & kept
+    assert kept - {3001} == {r[0] for r in rows if r[1] != "short"} - {3000, 3001, 3002}  # nothing else goes
+
+
+def test_labelled_documents(spark):
+    """On the given labels: what the method rejects beyond base is bad, and no good document goes."""
+    from churnlens.llm.quality import op3_quality_rules
+
+    path = "/root/testdata/sf0.01"
+    got = op3_quality_rules(spark, path).join(spark.read.parquet(f"{path}/labels.parquet"), "doc_id")
+    beyond = got.filter("NOT base_failed AND NOT kept")
+    assert beyond.count() > 10 and beyond.filter("quality = 1").count() == 0
+    assert got.filter("quality = 1 AND NOT kept AND NOT base_failed").count() == 0
+
+
+def test_very_long_text(make):
+    rows = [doc(1, " ".join(f"w{i}" for i in range(300_000))), doc(2, "again " * 200_000)] + [doc(10 + i, prose(i)) for i in range(20)]
+    assert {r.doc_id for r in keep_good(make(rows)).select("doc_id").collect()} == {1, *range(10, 30)}
+
+
+def test_any_column_name_stays(make):
+    names = ["__host", "__rate", "__q", "__kept", "a.b", "row", "text_", "host", "failed", "c0"]
+    df = make([doc(1, prose(1)), doc(2, None)]).selectExpr("*", *[f"'{i}' AS `{n}`" for i, n in enumerate(names)])
+    out = keep_good(df)
+    assert out.columns == df.columns
+    assert list(out.first())[5:] == [str(i) for i in range(len(names))] and out.count() == 1
