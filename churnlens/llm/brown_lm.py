@@ -29,9 +29,10 @@ Smoothing: word counts + 0.5, with one more word of count 0 in every class
 that has a group of rarer words; class transitions are interpolated with the
 classes' own frequencies.
 
-Defined results: a null or empty text is one end token; a null doc_id trains
-like the empty string; repeated rows each count and get equal scores; with no
-training text every word is unknown; an empty table gives an empty table.
+Defined results: a null or empty text is one end token; texts of any length are read whole; a
+null doc_id trains like the empty string; repeated rows each count and get equal scores; with no
+training text every word is unknown; an empty table gives an empty table; columns named like the
+results are replaced, all others stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from churnlens.llm.text import in_small_batches, lower_words
+from churnlens.llm.text import in_small_batches, lower_words, quoted
 from churnlens.operators.joins import materialize
 from churnlens.session import scratch
 
@@ -417,7 +418,7 @@ def fit(docs: DataFrame, text: str = "text", *, classes: int = CLASSES, sweeps:
         items: int | None = ITEMS, known: int = KNOWN, min_count: int = MIN_COUNT, head: int = HEAD) -> Model:
     """Learns from all rows of ``docs``."""
     spark = docs.sparkSession
-    texts = in_small_batches(docs).select(F.col(text).alias("text"))
+    texts = in_small_batches(docs).select(quoted(text).alias("text"))
     vocabulary = materialize(word_counts(texts), "vocabulary")
     tokens, types = vocabulary.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens = tokens or 0
@@ -511,14 +512,15 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     score (the model's log10 probability of the whole text); columns of these names are replaced."""
     new = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     kept = [c for c in docs.columns if c != text and c not in new]
+    inside = [f"c{i}" for i in range(len(kept))]  # names of their own meanwhile
     base_total = math.log10(model.tokens + ADD * (model.types + 1))
     ends = model.vocabulary.filter(F.octet_length("word") == 0).first()
     end = math.log10((ends["n"] if ends else 0) + ADD)
     n_words = len(model.class_of) - 1 - GROUPS
     shared = docs.sparkSession.sparkContext.broadcast(
         (model.known, model.rarer, model.class_of.astype(np.int16), model.transition, model.emitted, base_total, end))
-    named = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in named.drop("text").schema),
+    named = docs.select(*[quoted(c).alias(i) for c, i in zip(kept, inside)], quoted(text).alias("text"))
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in named.drop("text").schema),
                         "n_tokens long, n_known long, base_score double, score double, "
                         "__rare array<struct<word:binary, k:int>>"])
     part = materialize(named.mapInArrow(_score(shared, n_words), schema)
@@ -533,7 +535,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     known_end = 1 if ends else 0
     log = F.coalesce("__log", F.lit(0.0))
     return (part.join(more, "__row", "left").select(
-        *[F.col(f"`{c}`") for c in kept], "n_tokens",
+        *[F.col(i).alias(c) for c, i in zip(kept, inside)], "n_tokens",
         (F.col("n_known") + F.coalesce("__known", F.lit(0)) + known_end).cast("long").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("base_score") + log).alias("base_score"), (F.col("score") + log).alias("score")))

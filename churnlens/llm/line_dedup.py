@@ -12,10 +12,16 @@ each salted stream passes on only its first ``min_docs`` documents, which is
 all the second stream over the whole hash needs (the keeper, and whether there
 are enough documents). All steps are DataFrame operations.
 
-Defined results: null and empty texts are one empty line; a null doc_id counts
-as one document below all others; rows that repeat a doc_id are one document,
-their lines are decided alike and each row keeps its own bitmap; an empty table
-gives an empty table.
+The lines' table meets the repeated keys in a join that broadcasts them behind a size check and
+salts the frequent ones beyond it, and each position of a text is counted once before a
+text's positions are gathered, so neither a line of a third of all documents nor a document
+that is repeated thousands of times comes together in one task.
+
+Defined results: null and empty texts are one empty line; texts of any length are judged as a
+whole; a null doc_id counts as one document below all others; rows that repeat a doc_id are one
+document, their lines are decided alike and each row keeps its own bitmap; an empty table
+gives an empty table; ``drop_repeated_lines`` returns all columns as they were, whatever their
+names, and ``with_bitmaps`` takes over those it does not name itself.
 """
 
 from __future__ import annotations
@@ -23,8 +29,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.llm.text import UPPER, WHITE
-from churnlens.operators.joins import materialize
+from churnlens.llm.text import UPPER, WHITE, field, packed, quoted, unpacked
+from churnlens.operators.joins import join_small, materialize, written_bytes
+from churnlens.session import max_broadcast_bytes
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -44,9 +51,9 @@ def line_hashes(docs: DataFrame, text: str, doc_id: str, min_chars: int = MIN_CH
     """(__doc, __text, __h1, __h2, __at): one row per line whose key is long enough.
     __doc and __text (a hash of the whole text) name the row; __h1 and __h2 the key."""
     key = line_key(F.col("__line"))
-    return (docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_DOC)).alias("__doc"),
-                        F.xxhash64(text).alias("__text"),
-                        F.posexplode(_lines(F.col(text))).alias("__at", "__line"))
+    return (docs.select(F.coalesce(quoted(doc_id).cast("long"), F.lit(NO_DOC)).alias("__doc"),
+                        F.xxhash64(quoted(text)).alias("__text"),
+                        F.posexplode(_lines(quoted(text))).alias("__at", "__line"))
             .withColumn("__line", key)
             .filter(F.char_length("__line") >= min_chars)
             .select("__doc", "__text", F.xxhash64("__line").alias("__h1"),
@@ -85,27 +92,33 @@ def keep_bitmaps(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *,
     """One row per document that loses lines: __doc, __text, __dropped (sorted positions
     of the lines that go, the complement of the bitmap)."""
     lines = materialize(line_hashes(docs, text, doc_id, min_chars), "lines")
-    return (lines.join(repeated_keys(lines, min_docs, salts), ["__h1", "__h2"])
-            .filter(F.col("__doc") < F.col("__keeper"))
-            .groupBy("__doc", "__text")
-            .agg(F.array_sort(F.array_distinct(F.collect_list("__at"))).alias("__dropped")))
+    gone = (join_small(lines, repeated_keys(lines, min_docs, salts), ["__h1", "__h2"])
+            .filter(F.col("__doc") < F.col("__keeper")).select("__doc", "__text", "__at").distinct())
+    return gone.groupBy("__doc", "__text").agg(F.array_sort(F.collect_list("__at")).alias("__dropped"))
 
 
-def with_bitmaps(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **limits) -> DataFrame:
-    """``docs`` with ``__n_lines``, ``__n_dropped`` and ``__keep``, the run-length compressed bitmap of kept lines.
-    The texts are shuffled once, streamed past the (small) bitmaps without a sort."""
-    maps = materialize(keep_bitmaps(docs, text, doc_id, **limits), "bitmaps")
+def _met(rows: DataFrame, maps: DataFrame, doc_id: Column, text: Column) -> DataFrame:
+    """``rows`` with __n_lines, __n_dropped and __keep of their texts. Where a partition of the bitmaps is
+    small, the texts are streamed past it without a sort."""
     maps = maps.withColumnsRenamed({"__doc": "__d", "__text": "__t"})
-    named = docs.withColumns({"__doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_DOC)),
-                              "__text": F.xxhash64(text)})
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if written_bytes(maps) <= parts * max_broadcast_bytes(rows.sparkSession):
+        maps = maps.hint("shuffle_hash")
     dropped = F.coalesce("__dropped", F.array().cast("array<int>"))
-    return (named.join(maps.hint("shuffle_hash"), (F.col("__doc") == F.col("__d")) & (F.col("__text") == F.col("__t")), "left")
-            .withColumn("__n_lines", F.size(_lines(F.col(text))).cast("long"))
+    return (rows.withColumns({"__doc": F.coalesce(doc_id.cast("long"), F.lit(NO_DOC)), "__text": F.xxhash64(text)})
+            .join(maps, (F.col("__doc") == F.col("__d")) & (F.col("__text") == F.col("__t")), "left")
+            .withColumn("__n_lines", F.size(_lines(text)).cast("long"))
             .withColumn("__n_dropped", F.size(dropped).cast("long"))
             .withColumn("__keep", kept_runs(F.col("__n_lines"), dropped))
             .drop("__doc", "__text", "__d", "__t", "__dropped"))
 
 
+def with_bitmaps(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **limits) -> DataFrame:
+    """``docs`` with ``__n_lines``, ``__n_dropped`` and ``__keep``, the run-length compressed bitmap of kept lines.
+    The texts are shuffled once."""
+    return _met(docs, materialize(keep_bitmaps(docs, text, doc_id, **limits), "bitmaps"), quoted(doc_id), quoted(text))
+
+
 def apply_bitmap(text: Column, keep: Column) -> Column:
     """The kept lines, joined by a newline."""
     lines = _lines(text)
@@ -115,9 +128,10 @@ def apply_bitmap(text: Column, keep: Column) -> Column:
 def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **limits) -> DataFrame:
     """``docs`` with the repeated lines cut out of the text; texts that lose none are
     unchanged (null stays null), all other columns too."""
-    out = with_bitmaps(docs, text, doc_id, **limits)
-    cut = F.when(F.col("__n_dropped") > 0, apply_bitmap(F.col(text), F.col("__keep"))).otherwise(F.col(text))
-    return out.withColumn(text, cut).select(*[F.col(f"`{c}`") for c in docs.columns])
+    maps = materialize(keep_bitmaps(docs, text, doc_id, **limits), "bitmaps")
+    body = field(docs, text)
+    out = _met(packed(docs), maps, field(docs, doc_id), body)
+    return unpacked(out, docs, **{text: F.when(F.col("__n_dropped") > 0, apply_bitmap(body, F.col("__keep"))).otherwise(body)})
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -24,8 +24,9 @@ The weights are learned by pseudo-likelihood from at most ``FIT_TOKENS`` tokens
 about ``FIT_DOCS`` documents picked by a hash of their id, labelled by the
 patterns (tokens similar to a labelled one, but without a label, are left out).
 
-Defined results: null and empty texts have no spans; repeated rows have equal
-results; an empty table gives an empty table.
+Defined results: null and empty texts have no spans; texts of any length are searched whole;
+repeated rows have equal results; an empty table gives an empty table; a column named spans is
+replaced, all others stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.llm.text import in_small_batches
+from churnlens.llm.text import in_small_batches, map_texts, quoted
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1  # 0: none
@@ -336,9 +337,9 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_field(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Field:
     """Learns from at most FIT_TOKENS tokens of about FIT_DOCS documents."""
     total = docs.count()
-    order = F.xxhash64(F.col(doc_id))
+    order = F.xxhash64(quoted(doc_id))
     share = min(1.0, FIT_DOCS / max(1, total))
-    sample = docs.select(order.alias("order"), F.col(text).alias("text")).filter(
+    sample = docs.select(order.alias("order"), quoted(text).alias("text")).filter(
         F.pmod("order", F.lit(1_000_000)) < round(1_000_000 * share))
     rows = (sample.mapInArrow(_examples, "order long, at int, row array<int>")
             .orderBy("order", "at", "row").limit(FIT_TOKENS).collect())
@@ -367,12 +368,11 @@ def _finder(field, text: str):
 
 def find_personal(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the text, with ``spans``: an array of (start, kind, end, base) by start,
-    kind counting from 0 in the order of KINDS, base false for what the field added."""
+    kind counting from 0 in the order of KINDS, base false for what the field added (a column
+    of that name is replaced)."""
     field = docs.sparkSession.sparkContext.broadcast(fit_field(docs, text, doc_id))
-    named = in_small_batches(docs).select(*[F.col(f"`{c}`") for c in docs.columns if c != "spans"])
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in named.drop(text).schema),
-                        "spans array<struct<start:int, kind:int, end:int, base:boolean>>"])
-    return named.mapInArrow(_finder(field, text), schema)
+    return map_texts(in_small_batches(docs), text, _finder(field, "text"),
+                     "spans array<struct<start:int, kind:int, end:int, base:boolean>>", ("spans",))
 
 
 def _joined(spans: Column) -> Column:

@@ -22,8 +22,9 @@ pieces, at the lowest score less 10. Other than in the model, a literal U+2581
 every text exactly.
 
 Defined results: a null or empty text has no pieces, score 0 and no
-alternatives; repeated rows have equal results; an empty table gives an empty
-table.
+alternatives; texts of any length are encoded whole; repeated rows have equal results; an
+empty table gives an empty table; columns named like the results are replaced, all others
+stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,9 +39,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from churnlens.llm.text import in_small_batches
+from churnlens.llm.text import in_small_batches, map_texts
 
 NBEST = 4
 #: Blocks in each of the two generations that a task remembers.
@@ -299,10 +299,7 @@ def encode_pieces(docs: DataFrame, text: str = "text", *, model: str | None = No
     gives back the text (columns of these names are replaced)."""
     pieces = docs.sparkSession.sparkContext.broadcast(Pieces.read(model or default_model()))
     new = ("n_tokens", "ids", "scores", "alternatives", "exact")
-    docs = in_small_batches(docs).select(*[F.col(f"`{c}`") for c in docs.columns if c not in new])
-    kept = docs.drop(text)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), RESULT])
-    return docs.mapInArrow(_encoder(pieces, n, text), schema)
+    return map_texts(in_small_batches(docs), text, _encoder(pieces, n, "text"), RESULT, new)
 
 
 def op6_sentencepiece(spark, sf_dir: str) -> DataFrame:

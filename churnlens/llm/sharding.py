@@ -5,9 +5,10 @@ neighbours. The borders between shards are found by counting: each round
 sums the exact bytes in up to 256 intervals around every border that is
 still open, in one aggregate over the keys, and goes on inside the interval
 that holds the border, until the border is near enough to its target or the
-interval holds one key. A text hash whose copies outweigh the tolerance is
-refined further by doc_id, so a group of copies holding a third of the corpus
-is split, while any other group stays whole. The rows are then exchanged once.
+interval holds one key. A text hash whose copies hold more than ``split_share`` of a shard is
+refined further by doc_id, and rows equal in both by a number they are written with, so a
+group of copies holding a third of the corpus is split, while any other group stays whole. The
+rows are then exchanged once.
 
 Rounds read a written table of keys and sizes, return at most 256 sums per
 border to the driver, and use DataFrame operations only. Slots are
@@ -15,12 +16,13 @@ numbered inside (shard, two hash digits of doc_id), 256 pieces per shard, and
 shifted by the pieces' exact counts, so no task numbers a whole shard.
 
 Law: ``bytes`` (sizes near equal; each border is the key border nearest its
-target, so shards differ by at most about one document, or one repeated row).
+target, so shards differ by at most about one document, or one group of copies below ``split_share``).
 
 Defined results: a null text has size 1 and the key and checksum of an empty
-one; a null doc_id comes first; rows equal in text and doc_id stay together;
+one; texts of any length count as a whole; a null doc_id comes first; repeated rows are rows like
+others, whichever of them a border divides;
 empty shards are possible when there are fewer rows than shards; an empty
-table gives an empty table.
+table gives an empty table; columns other than the two named are left out, so none can clash.
 """
 
 from __future__ import annotations
@@ -30,13 +32,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.llm.text import quoted
 from churnlens.operators.joins import materialize
 
 SHARDS = 8
 BUCKETS = 256
 #: A border is near enough within this share of a shard's bytes; 0: the nearest key border.
 TOLERANCE = 0.0
-#: Copies of one text are split between shards when they hold more than this share of a shard.
+#: Default of ``split_share``: copies of one text are divided when they hold more than this of a shard.
 SPLIT_SHARE = 0.01
 KEY_DIGITS = 15  # hex digits of the text's md5 that order the rows
 
@@ -100,40 +103,53 @@ def _rounds(keys: DataFrame, key: str, borders: list[Border], near: float) -> li
     return [d for d in done if d is not None]
 
 
-def splitters(keys: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> list[tuple[int, int | None]]:
-    """The shards - 1 borders as (key, doc): rows with a smaller (key, doc) come before;
-    doc None: before all rows of that key."""
+def _nearer(borders: list[Border], found: list[tuple[int, int, int | None]]) -> list[int]:
+    """Borders at single rows as the first value behind them: each row on its nearer side."""
+    return [at + 1 if n is not None and below + n / 2 <= b.target else at for b, (at, below, n) in zip(borders, found)]
+
+
+def splitters(keys: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE,
+              split_share: float = SPLIT_SHARE) -> list[tuple[int, ...]]:
+    """The shards - 1 borders as (key,), (key, doc) or (key, doc, row): rows that come before it in
+    this order are in front of the border."""
     total, low, high = keys.agg(F.sum("size"), F.min("key"), F.max("key")).first()
     if not total:
         return []
     near = tolerance * total / shards
-    targets = [total * i / shards for i in range(1, shards)]
-    found = _rounds(keys, "key", [Border(t, low, high + 1, 0) for t in targets], near)
-    split: list[tuple[int, int | None]] = [(k, None) for k, _, _ in found]
+    borders = [Border(total * i / shards, low, high + 1, 0) for i in range(1, shards)]
+    found = _rounds(keys, "key", [Border(b.target, b.low, b.high, b.below) for b in borders], near)
+    split: list[tuple[int, ...]] = [(k,) for k, _, _ in found]
     # borders inside one text's copies: refine by doc_id, all such keys of the same text together
     for key in sorted({k for k, _, n in found if n is not None}):
         mine = [i for i, f in enumerate(found) if f[0] == key and f[2] is not None]
         n = found[mine[0]][2]
-        if n <= SPLIT_SHARE * total / shards:  # whole, on the nearer side
+        if n <= split_share * total / shards:  # whole, on the nearer side
             for i in mine:
-                split[i] = (key + (found[i][1] + n / 2 <= targets[i]), None)
+                split[i] = (key + (found[i][1] + n / 2 <= borders[i].target),)
             continue
         copies = keys.filter(F.col("key") == key)
-        first, last = copies.agg(F.min("doc"), F.max("doc")).first()
-        inner = _rounds(copies, "doc", [Border(targets[i], first, last + 1, found[i][1]) for i in mine], near)
-        for i, (doc, below, n) in zip(mine, inner):
-            after = n is not None and below + n / 2 <= targets[i]  # the nearer side of the last row
-            split[i] = (key, doc + 1 if after else doc)
+        first, last, size = copies.agg(F.min("doc"), F.max("doc"), F.max("size")).first()
+        inner = [Border(borders[i].target, first, last + 1, found[i][1]) for i in mine]
+        docs = _rounds(copies, "doc", [Border(b.target, b.low, b.high, b.below) for b in inner], near)
+        for i, b, doc, at in zip(mine, inner, docs, _nearer(inner, docs)):
+            split[i] = (key, at)
+            if doc[2] is not None and doc[2] > size:  # several rows of one text and id
+                rows = copies.filter(F.col("doc").cast("decimal(38,0)") == _exact(doc[0]))
+                one, end = rows.agg(F.min("row"), F.max("row")).first()
+                last_of = [Border(b.target, one, end + 1, doc[1])]
+                row = _rounds(rows, "row", [Border(b.target, one, end + 1, doc[1])], near)
+                split[i] = (key, doc[0], _nearer(last_of, row)[0])
     return split
 
 
-def shard_of(key: Column, doc: Column, split: list[tuple[int, int | None]]) -> Column:
+def shard_of(key: Column, doc: Column, row: Column, split: list[tuple[int, ...]]) -> Column:
     """The number of borders at or before a row."""
     out = F.lit(0)
-    for k, d in split:
-        after = key > k if d is not None else key >= k
-        if d is not None:
-            after = after | (key == k) & (doc.cast("decimal(38,0)") >= _exact(d))
+    for border in split:
+        after = F.lit(True)
+        for at, col in reversed(list(zip(border, (key, doc, row)))):
+            value = col.cast("decimal(38,0)")
+            after = (value > _exact(at)) | (value == _exact(at)) & after
         out = out + after.cast("int")
     return out
 
@@ -143,20 +159,22 @@ def text_key(text: Column) -> Column:
 
 
 def shard_by_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", *,
-                   shards: int = SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """(doc_id, size, text_crc32, shard, slot) of every row."""
-    body = F.coalesce(F.col(text), F.lit(""))
+                   shards: int = SHARDS, tolerance: float = TOLERANCE, split_share: float = SPLIT_SHARE) -> DataFrame:
+    """(doc_id, size, text_crc32, shard, slot) of every row. Copies of one text that hold more than
+    ``split_share`` of a shard's bytes may be divided between shards."""
+    body = F.coalesce(quoted(text), F.lit(""))
     keys = materialize(docs.select(
-        F.col(doc_id).alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"),
-        F.crc32(body.cast("binary")).alias("text_crc32"), text_key(F.col(text)).alias("key"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc")), "shard-keys")
-    split = splitters(keys, shards, tolerance)
-    placed = (keys.withColumn("shard", shard_of(F.col("key"), F.col("doc"), split))
+        quoted(doc_id).alias("doc_id"), (F.octet_length(body) + 1).cast("long").alias("size"),
+        F.crc32(body.cast("binary")).alias("text_crc32"), text_key(quoted(text)).alias("key"),
+        F.coalesce(quoted(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"),
+        F.monotonically_increasing_id().alias("row")), "shard-keys")  # written, so a row keeps its number
+    split = splitters(keys, shards, tolerance, split_share)
+    placed = (keys.withColumn("shard", shard_of(F.col("key"), F.col("doc"), F.col("row"), split))
               .withColumn("__piece", F.substring(F.md5(F.col("doc").cast("string")), 1, 2)))
     pieces = (placed.groupBy("shard", "__piece").count()  # at most 256 rows per shard
               .withColumn("__before", F.sum("count").over(Window.partitionBy("shard").orderBy("__piece")) - F.col("count"))
               .select(F.col("shard").alias("__s"), F.col("__piece").alias("__p"), "__before"))
-    inside = Window.partitionBy("shard", "__piece").orderBy("key", "doc")
+    inside = Window.partitionBy("shard", "__piece").orderBy("key", "doc", "row")
     return (placed.withColumn("__row", F.row_number().over(inside))
             .join(F.broadcast(pieces), (F.col("shard") == F.col("__s")) & (F.col("__piece") == F.col("__p")))
             .select("doc_id", "size", "text_crc32", "shard",

@@ -18,9 +18,10 @@ members in tasks of their own. Tasks hold one chunk and one batch.
 Counts are written as sorted bits (0: 00, 1: 01, 2: 11), so that the Manhattan
 distance of two points is the number of differing bits of their codes.
 
-Defined results: a null or empty text has fingerprint zero; a null doc_id never
-names a group unless all of the group's are null; repeated rows have equal
-results; an empty table gives an empty table.
+Defined results: a null or empty text has fingerprint zero; texts of any length are read
+whole; a null doc_id never names a group unless all of the group's are null; repeated rows have
+equal results; an empty table gives an empty table; ``keep_one_of_each`` returns all columns as
+they were, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark.sql.functions import pandas_udf
 from xxhash import xxh64_intdigest
 
 from churnlens.llm.components import components
-from churnlens.llm.text import in_small_batches, lower_words
+from churnlens.llm.text import field, in_small_batches, lower_words, packed, quoted, unpacked
 from churnlens.operators.joins import materialize
 
 SHINGLE = 3
@@ -199,8 +200,8 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
     """(rows, groups): rows has __doc, __text (hash of the text) and fp of every row; groups
     has fp, __root (smallest linked fingerprint) and component_id of every fingerprint."""
-    rows = materialize(in_small_batches(docs).select(F.col(doc_id).alias("__doc"), F.xxhash64(text).alias("__text"),
-                                   fingerprints(F.col(text)).alias("fp")), "fingerprints")
+    rows = materialize(in_small_batches(docs).select(quoted(doc_id).alias("__doc"), F.xxhash64(quoted(text)).alias("__text"),
+                                   fingerprints(quoted(text)).alias("fp")), "fingerprints")
     nodes = materialize(rows.groupBy("fp").agg(F.min("__doc").alias("__least")), "nodes")
     stars = components(materialize(near_links(nodes.select("fp"), max_bits), "links"))
     rooted = nodes.join(stars.withColumnsRenamed({"a": "fp", "b": "__root"}), "fp", "left").withColumn(
@@ -230,13 +231,14 @@ def keep_one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
                                                        (F.col("__first") == order).alias("__keep"))
                          .groupBy("__d", "__t", "__keep").agg(F.count(F.lit(1)).alias("__n"))
                          .filter("NOT __keep OR __n > 1").select("__d", "__t", "__keep"), "not-kept")
-    same = F.col(doc_id).eqNullSafe(F.col("__d")) & (F.xxhash64(text) == F.col("__t"))
-    out = docs.join(ranked.filter("NOT __keep"), same, "left_anti")
+    every = packed(docs).withColumns({"__id": field(docs, doc_id), "__hash": F.xxhash64(field(docs, text))})
+    same = F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__hash") == F.col("__t"))
+    out = every.join(ranked.filter("NOT __keep"), same, "left_anti")
     equal = ranked.filter("__keep").select("__d", "__t")
     if equal.count():  # footer counts: rows that repeat a kept row as a whole
-        once = out.join(equal, same, "left_semi").withColumn("__hash", F.xxhash64(text)).dropDuplicates([doc_id, "__hash"])
-        out = out.join(equal, same, "left_anti").unionByName(once.drop("__hash"))
-    return out
+        once = out.join(equal, same, "left_semi").dropDuplicates(["__id", "__hash"])
+        out = out.join(equal, same, "left_anti").unionByName(once)
+    return unpacked(out, docs)
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

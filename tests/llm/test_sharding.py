@@ -45,11 +45,20 @@ def test_hot_text_is_split(make):
 def test_repeated_and_few_rows(make):
     rows = [doc(1, "a")] * 5 + [doc(2, "b" * 100_000)]
     got = shard_by_bytes(make(rows)).collect()
-    assert len({r.shard for r in got if r.doc_id == 1}) == 1
     _check(rows, got, slack=10**6)
     assert shard_by_bytes(make([])).collect() == []
 
 
+def test_equal_rows_fill_the_shards(make):
+    """Rows equal in text and doc_id are divided like others: all shards within one row."""
+    same = [doc(7, "equal in text and id " * 8)] * 1000
+    for rows in (same, same + [doc(10_000 + i, prose(i, 28)) for i in range(1000)], [doc(None, "no id " * 20)] * 900):
+        got = shard_by_bytes(make(rows).repartition(5)).collect()
+        _check(rows, got, slack=max(r.size for r in got))
+    kept = shard_by_bytes(make(same + [doc(i + 9, prose(i)) for i in range(500)]), split_share=10.0).collect()
+    assert len({r.shard for r in kept if r.doc_id == 7}) == 1  # a share that lets every group stay whole
+
+
 def test_extreme_ids(make):
     rows = [doc(i, "one text for all ids") for i in (-2**63, -1, 0, 2**63 - 1, None, 5, 6, 7, 8, 9, 10)]
     _check(rows, shard_by_bytes(make(rows)).collect(), slack=100)
