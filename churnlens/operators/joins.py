@@ -109,6 +109,15 @@ def hot_keys(big: DataFrame, on: list[str]) -> DataFrame:
             .select(*on, F.ceil(F.col("__n") * 2 / F.lit(share)).cast("int").alias(_HOT)))
 
 
+def is_scan(df: DataFrame) -> bool:
+    """Whether a plan only reads files, projects and filters: its tasks see the same rows in the
+    same order whenever they run."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.children().size() == 1 and node.nodeName() in ("Project", "Filter"):
+        node = node.children().head()
+    return node.children().isEmpty() and node.nodeName() in ("LogicalRelation", "DataSourceV2ScanRelation", "Range", "LocalRelation")
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """Shuffle join on ``on`` with each hot key spread over its own number of salts.
 
@@ -116,9 +125,12 @@ def salted_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str
     side. Exact: every large-side row meets exactly the one replica of its
     small-side row that carries its salt. The salt is the row's position in its
     task's input, so equal rows are spread too; it is the same when a scan is
-    run again.
+    run again. A large side that is more than a scan is written first, as behind a
+    shuffle a task that is run again may see its rows in another order.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if not is_scan(big):
+        big = materialize(big, "large-side")
     hot = F.broadcast(hot_keys(big, keys))
     b = (big.withColumn(_SALT, F.monotonically_increasing_id()).join(hot, keys, "left")
          .withColumn(_SALT, F.when(F.col(_HOT).isNotNull(), F.pmod(_SALT, F.col(_HOT).cast("long")))

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -70,7 +71,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_core_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable core settings to an existing session."""
+    """Apply the runtime-settable core settings to an existing session. They stay with the session:
+    its later plans (among them the lazy results of the caller) depend on the time zone."""
     for k, v in CORE_CONF.items():
         spark.conf.set(k, v)
     zone = spark.conf.get("spark.sql.session.timeZone")
@@ -97,14 +99,18 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-#: Paths handed out by ``scratch_path`` in this process, in order.
-_handed_out: list[str] = []
+#: Paths handed out inside the innermost ``scratch`` of this context, in order. Threads have contexts
+#: of their own; one that works for a ``scratch`` runs in a copy of its context.
+_inside: ContextVar[list[str] | None] = ContextVar("scratch_paths", default=None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared folder."""
+    """A fresh, unique path below the shared folder. Outside any ``scratch`` it stays until the
+    caller (or the folder's owner) deletes it."""
     path = f"{shared_dir(spark)}/churnlens/{name}-{uuid.uuid4().hex[:12]}"
-    _handed_out.append(path)
+    mine = _inside.get()
+    if mine is not None:
+        mine.append(path)
     return path
 
 
@@ -112,19 +118,22 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that nothing reads any more."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    if path in _handed_out:
-        _handed_out.remove(path)
+    mine = _inside.get()
+    if mine is not None and path in mine:
+        mine.remove(path)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Scratch tables written inside are deleted at the end: for jobs that write their
-    result elsewhere before they return."""
-    before = set(_handed_out)
+    """Scratch tables written inside (by this context) are deleted at the end: for jobs that write
+    their result elsewhere before they return."""
+    token = _inside.set([])
     try:
         yield
     finally:
-        for path in [p for p in _handed_out if p not in before]:
+        mine = _inside.get() or []
+        _inside.reset(token)
+        for path in mine:
             drop_path(spark, path)
 
 

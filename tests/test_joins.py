@@ -57,3 +57,15 @@ def test_salt_counts_are_bounded_for_any_skew(spark):
         counts = {r.k: r["count"] for r in big.groupBy("k").count().collect()}
         for r in hot:  # every salted piece holds at most half a fair share
             assert counts[r.k] / r["__hot"] <= share / 2 + 1, name
+
+
+def test_only_scans_are_salted_as_they_are(spark):
+    from churnlens.operators.joins import is_scan, materialize
+
+    table = materialize(_big(spark), "big")
+    assert is_scan(table) and is_scan(table.filter("v > 3").select("k"))
+    for df in (table.repartition(3), table.groupBy("k").count(), table.join(table.select("k").distinct(), "k"), table.sort("v")):
+        assert not is_scan(df)
+    small = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("x"))
+    shuffled = table.repartition(5, F.rand(1))
+    assert salted_join(shuffled, small, "k").count() == table.join(small, "k").count()

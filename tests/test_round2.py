@@ -84,20 +84,41 @@ def test_equal_rows_of_a_hot_key_are_spread(spark):
     assert salted.filter("userId = 'hot'").select("s").distinct().count() == 16
 
 
-def test_jobs_leave_no_scratch_tables(spark, tmp_path):
-    from churnlens import session
+def _scratch_tables(spark):
+    from churnlens.session import shared_dir
+    from churnlens.sources.table_sets import _children
+
+    return set(_children(spark, f"{shared_dir(spark)}/churnlens"))
 
-    before = list(session._handed_out)
+
+def test_jobs_leave_no_scratch_tables(spark, tmp_path):
     path = write_parquet(C.clean(rows(spark, [ev(), ev(user="2", ts=5)])), f"file://{tmp_path}/in")
-    made = [p for p in session._handed_out if p not in before]
+    before = _scratch_tables(spark)
     (tmp_path / "log.json").write_text(json.dumps({"userId": "1", "page": "Home", "ts": 1}))
     run_clean(spark, f"file://{tmp_path}/log.json", f"file://{tmp_path}/out")
     run_exploration(spark, path, f"file://{tmp_path}/tables")
-    assert [p for p in session._handed_out if p not in before] == made
-    kept = J.materialize(spark.range(3), "kept")
-    session.drop_path(spark, session._handed_out[-1])
-    with pytest.raises(Exception):
-        spark.read.parquet(kept.inputFiles()[0]).count()
+    assert _scratch_tables(spark) == before
+
+
+def test_scratch_ends_with_its_own_tables_only(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from churnlens.session import scratch
+
+    def other():
+        return J.materialize(spark.range(5), "other-thread")
+    before = J.materialize(spark.range(3), "before")
+    with scratch(spark), ThreadPoolExecutor(1) as pool:
+        mine = J.materialize(spark.range(4), "mine")
+        theirs = pool.submit(other).result()
+        with scratch(spark):
+            inner = J.materialize(spark.range(2), "inner")
+        assert mine.count() == 4
+        with pytest.raises(Exception, match="(?i)exist"):
+            inner.select("id").collect()
+    assert before.count() == 3 and theirs.count() == 5
+    with pytest.raises(Exception, match="(?i)exist"):
+        mine.select("id").collect()
 
 
 def test_wide_small_side_is_not_broadcast(spark):
