@@ -7,6 +7,13 @@
     python -m churnlens compare  -m svm=models/svm lr=models/lr ...
     python -m churnlens explore  -i cleaned.parquet -o exploration/
 
+Scoring users straight from a raw log, and the profile of a log's fields:
+
+    python -m churnlens scorer -a lr -i train.parquet -o models/scorer
+    python -m churnlens score  -i log.json -m models/scorer -o scores.parquet
+    python -m churnlens drift  -i log.json
+    python -m churnlens search -i train.parquet -o models/ -a nb lr --wide
+
 The two workflows, with a ledger so that a rerun goes on after the last finished step:
 
     python -m churnlens preprocess -i log.json -c cleaned.parquet -t train.parquet -v validation.parquet --ledger ledger/
@@ -62,6 +69,23 @@ def main(argv: list[str] | None = None) -> int:
     x.add_argument("--mode", default="errorifexists")
     m = sub.add_parser("compare")
     m.add_argument("-m", "--models", nargs="+", required=True, help="algo=path ...")
+    r = sub.add_parser("scorer")
+    r.add_argument("-a", "--algo", required=True)
+    r.add_argument("-i", "--input_data", required=True)
+    r.add_argument("-o", "--output_model", required=True)
+    z = sub.add_parser("score")
+    z.add_argument("-i", "--input_file", required=True)
+    z.add_argument("-m", "--model_path", required=True)
+    z.add_argument("-o", "--output_file", required=True)
+    z.add_argument("--format", default="json")
+    z.add_argument("--mode", default="errorifexists")
+    d = sub.add_parser("drift")
+    d.add_argument("-i", "--input_file", required=True)
+    y = sub.add_parser("search")
+    y.add_argument("-i", "--input_data", required=True)
+    y.add_argument("-o", "--model_root", required=True)
+    y.add_argument("-a", "--algos", nargs="+", default=None)
+    y.add_argument("--wide", action="store_true", help="the wide grids instead of the single maps")
     w = sub.add_parser("preprocess")
     for flag, name in (("-i", "--input_file"), ("-c", "--cleaned"), ("-t", "--traintest"), ("-v", "--validation"), (None, "--ledger")):
         w.add_argument(*[x for x in (flag, name) if x], required=True)
@@ -87,6 +111,23 @@ def main(argv: list[str] | None = None) -> int:
             publish_features(spark, args.input, args.publish, method=args.split)
         else:
             run_features(spark, args.input, args.traintest, args.validation, method=args.split, mode=args.mode)
+    elif args.job == "scorer":
+        from churnlens.plans.score_job import run_scorer_training
+        run_scorer_training(spark, args.algo, args.input_data, args.output_model)
+    elif args.job == "score":
+        from churnlens.plans.score_job import run_scoring
+        run_scoring(spark, args.input_file, args.model_path, args.output_file, fmt=args.format, mode=args.mode)
+    elif args.job == "drift":
+        from churnlens.sources.drift import schema_drift
+        schema_drift(spark, args.input_file).orderBy("field").show(1000, truncate=False)
+    elif args.job == "search":
+        from churnlens.operators.ml import ALGORITHMS
+        from churnlens.operators.search import WIDE_GRIDS
+        from churnlens.plans.train_job import run_search
+        found = run_search(spark, args.input_data, args.model_root, tuple(args.algos or ALGORITHMS),
+                           grids=WIDE_GRIDS if args.wide else None)
+        for algo, x in found.items():
+            print(algo, x.grid[x.best], x.means[x.best])
     elif args.job == "preprocess":
         from churnlens.plans.workflows import preprocess
         for step in preprocess(spark, args.input_file, args.cleaned, args.traintest, args.validation, fmt=args.format,

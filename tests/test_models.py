@@ -136,6 +136,31 @@ def test_reloaded_model_scores_a_raw_log(spark, parts):
         r["userId"]: r["prediction"] for r in scorer.transform(log).collect()}
 
 
+def test_scoring_job_from_a_raw_json_log(spark, parts):
+    from churnlens.plans.score_job import run_scorer_training, run_scoring
+    from churnlens.sources import write_event_log_json, write_parquet
+
+    root = scratch_path(spark, "score")
+    write_parquet(parts[0], f"{root}/train")
+    write_event_log_json(raw(spark, SF01), f"{root}/log")
+    run_scorer_training(spark, "lr", f"{root}/train", f"{root}/model", cross_validate=False)
+    out = spark.read.parquet(run_scoring(spark, f"{root}/log", f"{root}/model", f"{root}/scores"))
+    assert out.columns == ["userId", "churn", "prediction", "score"] and out.count() > 100
+    assert out.filter((F.col("score") > 0.5) != (F.col("prediction") == 1.0)).count() == 0
+
+
+def test_search_job_saves_models_and_scores(spark, parts):
+    from churnlens.plans.train_job import run_search
+    from churnlens.sources import read_fold_scores, write_parquet
+
+    root = scratch_path(spark, "search")
+    write_parquet(parts[0], f"{root}/train")
+    found = run_search(spark, f"{root}/train", f"{root}/models", ("nb",), grids={"nb": S.WIDE_GRIDS["nb"]})
+    scores = read_fold_scores(spark, f"{root}/models/nb").orderBy("param_map").collect()
+    assert [r["f1_mean"] for r in scores] == pytest.approx(found["nb"].means) and len(scores) == 6
+    assert load_model(f"{root}/models/nb").transform(parts[1]).count() == found["nb"].model.transform(parts[1]).count()
+
+
 def test_search_equals_the_cross_validator(spark, parts):
     folded = materialize(S.with_folds(parts[0]), "folded")
     for algo in ("nb", "lr"):
