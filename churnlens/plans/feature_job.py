@@ -10,8 +10,8 @@ from churnlens.operators.joins import materialize
 from churnlens.operators.ml import encode_systems
 from churnlens.operators.split import split_column, train_validation_split, with_class_weights
 from churnlens.session import ensure_core_conf, scratch
-from churnlens.sources import read_parquet, write_parquet
-from churnlens.sources.table_sets import publish
+from churnlens.sources import read_parquet
+from churnlens.sources.table_sets import publish, write_together
 
 
 def feature_table(cleaned: DataFrame) -> DataFrame:
@@ -39,12 +39,12 @@ def weighted_split(features: DataFrame, method: str = "hash") -> tuple[DataFrame
 def run_features(spark: SparkSession, cleaned_path: str, train_path: str,
                  validation_path: str, *, method: str = "hash",
                  mode: str = "errorifexists") -> tuple[str, str]:
+    """Write the two weighted tables; neither appears before both are complete."""
     ensure_core_conf(spark)  # month of activity is computed in UTC
     cleaned = read_parquet(spark, cleaned_path)
     with scratch(spark):
         train, validation = weighted_split(feature_table(cleaned), method)
-        write_parquet(train, train_path, mode)
-        write_parquet(validation, validation_path, mode)
+        write_together(spark, {train_path: train, validation_path: validation}, mode)
     return train_path, validation_path
 
 

@@ -131,9 +131,9 @@ long_f AS ({' UNION ALL '.join(parts)})"""
     return sql.replace(_long_features(), mine).replace(dims, f"dims AS (SELECT {n} + k + {len(PAGE_COLS)} AS d FROM ksys)")
 
 
-def _grid_sql() -> str:
+def _grid_sql(smoothings: tuple[float, ...]) -> str:
     out = []
-    for i, s in enumerate((0.5, 1.0, 2.0)):
+    for i, s in enumerate(smoothings):
         sql = _nb_cross_validation()
         for old, new in (("CAST('0x' || substr(md5('fold:' || ok.userId), 1, 8) AS BIGINT)",
                           "CAST('0x' || substr(md5('fold 42:' || ok.userId), 1, 12) AS BIGINT)"),
@@ -151,5 +151,6 @@ SQL = {
     "forest_walk": w(FEATS, _long_features()) + f"""SELECT userId, churn, TRUE AS same_class, TRUE AS same_probability
       FROM ok WHERE {SPLIT} = 'validation'""",
     "score_raw_log": _raw_log_sql(),
-    "grid_search_nb": _grid_sql(),
+    "grid_search_nb": _grid_sql((0.5, 1.0, 2.0)),
+    "training_job_scores": _grid_sql((1.0,)),
 }

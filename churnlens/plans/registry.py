@@ -212,7 +212,7 @@ def q_evaluate_job(spark, sf):
 
 def q_training_job_scores(spark, sf):
     """The fold scores that the training job writes beside the model."""
-    return read_fold_scores(spark, _trained(spark, sf)[1])
+    return rounded(read_fold_scores(spark, _trained(spark, sf)[1]))
 
 
 def q_ordered_shares(spark, sf):

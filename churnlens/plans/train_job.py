@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from churnlens.operators.ml import ALGORITHMS, train, train_with_scores
-from churnlens.operators.search import Searched, train_all
+from churnlens.operators.search import FOLD, Searched, train_all, with_folds
 from churnlens.session import scratch
 from churnlens.sources import read_parquet, save_model, write_fold_scores
 
@@ -31,7 +31,8 @@ def run_training(spark: SparkSession, algo: str, train_path: str, model_path: st
 def _fit_and_save(spark: SparkSession, algo: str, train_path: str, model_path: str,
                   cross_validate: bool) -> PipelineModel:
     if cross_validate:
-        fitted = train_with_scores(read_parquet(spark, train_path), algo)
+        # folds from a hash of the user: the same ones whatever the partitioning
+        fitted = train_with_scores(with_folds(read_parquet(spark, train_path)), algo, fold_col=FOLD)
         model, scores = fitted.bestModel, (fitted.avgMetrics, fitted.stdMetrics)
     else:
         model, scores = train(read_parquet(spark, train_path), algo, cross_validate=False), None

@@ -94,6 +94,44 @@ def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], *, kee
     return commit(spark, root, {**(keep or {}), **{name: f"{at}/{name}" for name in tables}})
 
 
+def write_together(spark: SparkSession, tables: dict[str, DataFrame], mode: str = "errorifexists") -> None:
+    """Write tables to paths of the caller's choice so that none appears before all are complete:
+    each is written beside its place, then all are moved. A failure before the moves leaves no
+    table (with ``overwrite`` the old ones); a failed move takes back the moves before it. Where a
+    crash between two moves matters, publish a table set instead."""
+    if mode not in ("errorifexists", "error", "overwrite"):
+        raise ValueError(f"mode is 'errorifexists' or 'overwrite', not {mode!r}")
+    paths = {path.rstrip("/"): df for path, df in tables.items()}
+    there = [p for p in paths if path_exists(spark, p)]
+    if there and mode != "overwrite":
+        raise FileExistsError(f"already exists: {', '.join(there)}")
+    tag = uuid.uuid4().hex[:12]
+    moved: list[tuple[str, str]] = []
+    try:
+        for path, df in paths.items():
+            write_parquet(df, f"{path}.staged-{tag}")
+        for path in there:
+            _move(spark, path, f"{path}.old-{tag}", moved)
+        for path in paths:
+            _move(spark, f"{path}.staged-{tag}", path, moved)
+    except BaseException:
+        for source, target in reversed(moved):
+            _move(spark, target, source, [])
+        raise
+    finally:
+        for path in paths:
+            drop_path(spark, f"{path}.staged-{tag}")
+    for path in there:
+        drop_path(spark, f"{path}.old-{tag}")
+
+
+def _move(spark: SparkSession, source: str, target: str, moved: list[tuple[str, str]]) -> None:
+    fs, p = _fs(spark, source)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not move {source} to {target}")
+    moved.append((source, target))
+
+
 def vacuum(spark: SparkSession, root: str, versions: int = 1) -> list[str]:
     """Delete the data that none of the newest ``versions`` manifests names (of failed or
     replaced writes); the deleted folders. Not while another writer is at work."""

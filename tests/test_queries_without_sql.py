@@ -15,7 +15,7 @@ from .conftest import SF001, SF01
 
 
 def test_which_queries_have_no_sql():
-    assert set(QUERIES) - set(ORACLE) == {"training_job_scores", "predictions_svm", "predictions_lr", "predictions_rf", "model_scores",
+    assert set(QUERIES) - set(ORACLE) == {"predictions_svm", "predictions_lr", "predictions_rf", "model_scores",
                                           "concurrent_training", "quartiles"}
     assert set(ORACLE) <= set(QUERIES) and set(CORE) <= set(QUERIES)
 

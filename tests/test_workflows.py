@@ -150,3 +150,48 @@ def test_versions_torn_manifests_and_racing_writers(spark, monkeypatch):
     monkeypatch.setattr(P, "_children", lambda s, path: [])  # this writer has not seen the others
     with pytest.raises(Exception, match="(?i)exist"):
         P.commit(spark, root, {"t": "x"})
+
+
+def test_the_feature_job_shows_both_tables_or_neither(spark, monkeypatch):
+    from churnlens.plans.feature_job import run_features
+
+    root = scratch_path(spark, "together")
+    write_parquet(cleaned(spark, SF001), f"{root}/cleaned")
+    paths = [f"{root}/{n}" for n in ("train", "validation")]
+    real, calls = P.write_parquet, []
+
+    def breaks(df, path, *a):
+        calls.append(path)
+        if len(calls) == 2:
+            raise RuntimeError("between the two writes")
+        return real(df, path, *a)
+    monkeypatch.setattr(P, "write_parquet", breaks)
+    with pytest.raises(RuntimeError):
+        run_features(spark, f"{root}/cleaned", *paths)
+    assert P._children(spark, root) == ["cleaned"]
+    monkeypatch.setattr(P, "write_parquet", real)
+    run_features(spark, f"{root}/cleaned", *paths)
+    rows = [spark.read.parquet(p).count() for p in paths]
+    calls.clear()
+    monkeypatch.setattr(P, "write_parquet", breaks)
+    with pytest.raises(RuntimeError):  # the old tables stay
+        run_features(spark, f"{root}/cleaned", *paths, mode="overwrite")
+    monkeypatch.setattr(P, "write_parquet", real)
+    move, n = P._move, []
+
+    def stuck(s, source, target, moved):
+        n.append(source)
+        if len(n) == 4:
+            raise OSError("stuck")
+        return move(s, source, target, moved)
+    monkeypatch.setattr(P, "_move", stuck)
+    with pytest.raises(OSError):  # the second table cannot be moved: the first one goes back
+        run_features(spark, f"{root}/cleaned", *paths, mode="overwrite")
+    monkeypatch.setattr(P, "_move", move)
+    assert [spark.read.parquet(p).count() for p in paths] == rows
+    with pytest.raises(FileExistsError):
+        run_features(spark, f"{root}/cleaned", *paths)
+    run_features(spark, f"{root}/cleaned", *paths, mode="overwrite")
+    assert P._children(spark, root) == ["cleaned", "train", "validation"]
+    with pytest.raises(ValueError):
+        P.write_together(spark, {}, "append")
