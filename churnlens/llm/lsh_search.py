@@ -17,8 +17,9 @@ k rows is compared with all rows, in blocks of queries.
 The width is set from the mean distance of at most ``FIT_ROWS`` vectors, picked by
 a hash of their ids. All rows are indexed.
 
-Defined results: rows with a null id, and vectors that are null, zero, of
-another length than most, or hold null or non-finite values, take no part; rows
+Defined results: rows with a null id, and vectors that are null, zero,
+empty, or hold null or non-finite values, take no part; vectors of different lengths have no
+distance, so each is searched among those of its length; rows
 equal in id and vector count once; equal distances go to the smaller id; an
 empty table gives an empty table.
 """
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from churnlens.llm.text import quoted
 from churnlens.operators.joins import materialize
 
 NEAREST = 10
@@ -205,17 +207,25 @@ def usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
     fine = (F.col("id").isNotNull() & v.isNotNull() & (F.size("vector") > 0)
             & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
             & F.exists("vector", lambda x: x != 0))
-    good = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("vector")).filter(fine)
-    length = good.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return good.filter(F.size("vector") == (length["n"] if length else 0))
+    return rows.select(quoted(vec_id).cast("long").alias("id"), quoted(vector).alias("vector")).filter(fine)
 
 
 def nearest(rows: DataFrame, queries, vec_id: str = "vec_id", vector: str = "embedding", *,
             k: int = NEAREST, tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row that the condition
     ``queries`` (on a column ``id``) selects, nearest first, ties to the smaller id."""
-    spark = rows.sparkSession
     good = usable(rows, vec_id, vector)
+    lengths = sorted(r[0] for r in good.select(F.size("vector")).distinct().collect())  # one, as a rule
+    parts = [_of_one_length(good.filter(F.size("vector") == n) if len(lengths) > 1 else good, queries, k, tables, hashes, probes)
+             for n in lengths]
+    found = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double") if not parts else parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    return found
+
+
+def _of_one_length(good: DataFrame, queries, k: int, tables: int, hashes: int, probes: int) -> DataFrame:
+    spark = good.sparkSession
     # equal vectors: one class, named by its smallest id, with the k + 1 smallest
     order = Window.partitionBy("vector").orderBy("id")
     classes = materialize(

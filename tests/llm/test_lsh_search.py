@@ -86,6 +86,13 @@ def test_small_tables(make):
     assert _found(make(rows[:1], VECTORS)) == {}
 
 
+def test_lengths_are_searched_apart(make):
+    rows = [(i, [float(i % 9), 1.0 + i], "x") for i in range(0, 300, 10)] + [(1000 + i, [1.0, float(i), 3.0], "x") for i in range(0, 300, 10)]
+    got = _found(make(rows, VECTORS))
+    assert got.keys() == {0, 100, 200, 1000, 1100, 1200}
+    assert all((i >= 1000) == (q >= 1000) for q, x in got.items() for _, i in x) and all(len(x) == 10 for x in got.values())
+
+
 def test_probes_come_in_order():
     h = L.Hashes(4, 1.0, tables=1, hashes=4, probes=30)
     place = np.array([0.1, 0.45, 0.8, 0.3])
