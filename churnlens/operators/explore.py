@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from churnlens.functions import page_flag, to_day, to_days, to_hour, to_minutes, to_month
 from churnlens.operators.features import page_clicks
+from churnlens.operators.quantiles import quantile_columns, sketch
 from churnlens.schema import CANCEL_PAGE, DOWNGRADE_PAGE, SONG_PAGE, UPGRADE_PAGE
 
 BY_CHURN_USER = ("churn", "userId")
@@ -59,8 +60,9 @@ def describe_strings(df: DataFrame, columns: list[str] | None = None) -> DataFra
                  F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max")) for i, c in enumerate(cols)])))
 
 
-def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Typed ``describe``: one row per numeric column with count, mean, stddev, min, max.
+def describe_numeric(df: DataFrame, columns: list[str] | None = None, *, quartiles: bool = False) -> DataFrame:
+    """Typed ``describe``: one row per numeric column with count, mean, stddev, min, max
+    and, if asked for, q25, q50 and q75 (see ``operators.quantiles`` for their rank error).
 
     One aggregate pass (partial per task), then the one-row result is turned
     into rows. ``DataFrame.describe`` gives the same figures as strings.
@@ -72,11 +74,14 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFra
         aggs += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"mean{i}"),
                  F.stddev_samp(c).alias(f"sd{i}"),
                  F.min(c).cast("double").alias(f"min{i}"), F.max(c).cast("double").alias(f"max{i}")]
+        if quartiles:
+            aggs.append(sketch(c).alias(f"sketch{i}"))
     wide = df.agg(*aggs)
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
                  F.col(f"mean{i}").alias("mean"), F.col(f"sd{i}").alias("stddev"),
-                 F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max"))
+                 F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max"),
+                 *(quantile_columns(F.col(f"sketch{i}")) if quartiles else ()))
         for i, c in enumerate(cols)])
     return wide.select(F.inline(rows))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Size of the sketches and twice the two-sided rank error (99 %) that belongs to it.
@@ -19,11 +19,22 @@ RANK_ERROR = 0.02
 QUARTILES = (0.25, 0.5, 0.75)
 
 
+def sketch(column: str, size: int = SKETCH_SIZE) -> Column:
+    """Aggregate: the sketch of a column; NULL and NaN are left out."""
+    value = F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None).cast("double"))
+    return F.kll_sketch_agg_double(value, F.lit(size))
+
+
+def quantile_columns(of: Column, ranks: Sequence[float] = QUARTILES) -> list[Column]:
+    """``q25``, ``q50`` ... of a sketch (NULL without values)."""
+    return [F.when(F.kll_sketch_get_n_double(of) > 0, F.kll_sketch_get_quantile_double(of, F.lit(float(r)))).alias(f"q{round(r * 100)}")
+            for r in ranks]
+
+
 def quantile_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), size: int = SKETCH_SIZE) -> DataFrame:
     """One row per group and column: the columns ``by``, ``column``, ``sketch`` (binary). NULL and NaN
     values are left out; one pass, merged before the shuffle."""
-    value = lambda c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double"))
-    wide = df.groupBy(*by).agg(*[F.kll_sketch_agg_double(value(c), F.lit(size)).alias(f"__{i}") for i, c in enumerate(columns)])
+    wide = df.groupBy(*by).agg(*[sketch(c, size).alias(f"__{i}") for i, c in enumerate(columns)])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__{i}").alias("sketch")) for i, c in enumerate(columns)])
     return wide.select(*by, F.inline(rows)).filter("sketch IS NOT NULL")
 
@@ -35,10 +46,8 @@ def merge_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def quantiles(sketches: DataFrame, ranks: Sequence[float] = QUARTILES) -> DataFrame:
     """The sketches' groups with ``n`` and one column ``q25``, ``q50`` ... per rank (NULL without values)."""
-    n = F.kll_sketch_get_n_double("sketch")
     keys = [c for c in sketches.columns if c != "sketch"]
-    some = [F.when(n > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(float(r)))).alias(f"q{round(r * 100)}") for r in ranks]
-    return sketches.select(*keys, n.alias("n"), *some)
+    return sketches.select(*keys, F.kll_sketch_get_n_double("sketch").alias("n"), *quantile_columns(F.col("sketch"), ranks))
 
 
 def rank_errors(df: DataFrame, found: DataFrame, column: str, by: Sequence[str] = (),

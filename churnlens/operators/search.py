@@ -14,11 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextvars import copy_context
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame
@@ -27,6 +25,7 @@ from pyspark.sql import functions as F
 from churnlens.operators.joins import materialize
 from churnlens.operators.ml import ALGORITHMS, LABEL, WEIGHT, assembler, classifier, param_grid, scaler, training_layout
 from churnlens.schema import FEATURE_COLS
+from churnlens.session import carried
 
 FOLD = "fold"
 #: Wider grids than the single-map ones of the training job.
@@ -84,26 +83,16 @@ def search(df: DataFrame, algo: str, grid: Sequence[dict[str, object]] | None =
         fit, held = vectors[task[0]]
         return score.evaluate(_classifier(algo, seed, task[1]).fit(fit).transform(held))
 
-    carry = _carried(df)
+    spark = df.sparkSession
     with ThreadPoolExecutor(parallelism) as pool:  # the target carries the job group and pool of this thread
-        vectors = list(pool.map(carry(prepared), range(folds)))
-        scores = np.array(list(pool.map(carry(one), [(k, g) for k in range(folds) for g in grid])))
+        vectors = list(pool.map(carried(spark, prepared), range(folds)))
+        scores = np.array(list(pool.map(carried(spark, one), [(k, g) for k in range(folds) for g in grid])))
     scores = scores.reshape(folds, len(grid))
     means, spreads = scores.mean(axis=0).tolist(), scores.std(axis=0).tolist()
     clf = _classifier(algo, seed, grid[int(np.argmax(means))])
     return Searched(Pipeline(stages=[assembler(cols), scaler(), clf]).fit(rows.drop(FOLD)), grid, means, spreads)
 
 
-def _carried(df: DataFrame):
-    """Makes a function run in other threads with this one's job group, pool and scratch tables."""
-    here = copy_context()
-
-    def carry(f):
-        inside = inheritable_thread_target(df.sparkSession)(f)
-        return lambda x: here.copy().run(inside, x)  # a context runs in one thread at a time
-    return carry
-
-
 def _classifier(algo: str, seed: int, values: dict[str, object]):
     clf = classifier(algo, seed)
     return clf.copy({clf.getParam(name): value for name, value in values.items()})
@@ -126,7 +115,7 @@ def train_all(df: DataFrame, algos: Sequence[str] = ALGORITHMS, grids: dict[str,
     if not concurrent:
         return {a: one(a) for a in algos}
     with ThreadPoolExecutor(max(1, len(algos))) as pool:
-        return dict(zip(algos, pool.map(_carried(df)(one), algos)))
+        return dict(zip(algos, pool.map(carried(df.sparkSession, one), algos)))
 
 
 def select_features(importances: DataFrame, cols: Sequence[str] = FEATURE_COLS, *, sizes: dict[str, int] | None = None,

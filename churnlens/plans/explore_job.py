@@ -4,19 +4,21 @@ The cleaned log is read four times: summarised per (churn, user, session) and
 per (group, hour, weekday), for the plan level at cancellation (a pushed-down
 filter) and for the clicks; every other comparison reads a summary. Results
 are written as Spark partitions them: tables per user or session stay
-distributed.
+distributed. The tables do not depend on each other, so several are written at a time
+and small ones fill the executors that a long one leaves idle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from churnlens.operators import explore as X
 from churnlens.operators.histogram import histogram
 from churnlens.operators.joins import materialize
-from churnlens.session import ensure_core_conf, scratch
+from churnlens.session import carried, ensure_core_conf, scratch
 from churnlens.sources import read_parquet, write_parquet
 
 
@@ -53,15 +55,17 @@ def comparisons(cleaned: DataFrame, sessions: DataFrame,
 
 
 def run_exploration(spark: SparkSession, cleaned_path: str, out_dir: str, *,
-                    mode: str = "errorifexists") -> list[str]:
-    """Write every comparison under ``out_dir``; returns the table names."""
+                    mode: str = "errorifexists", at_a_time: int = 4) -> list[str]:
+    """Write every comparison under ``out_dir``, ``at_a_time`` of them together; returns the table names."""
     ensure_core_conf(spark)  # hours, weekdays and months in UTC
     cleaned = read_parquet(spark, cleaned_path)
-    names = []
     with scratch(spark):
         sessions = X.summarize(cleaned)
         times = materialize(X.time_bucket_counts(cleaned), "time-bucket-counts")
-        for name, build in comparisons(cleaned, sessions, times).items():
-            write_parquet(build(), f"{out_dir.rstrip('/')}/{name}", mode)
-            names.append(name)
-    return names
+        tables = comparisons(cleaned, sessions, times)
+
+        def write(name: str) -> str:
+            write_parquet(tables[name](), f"{out_dir.rstrip('/')}/{name}", mode)
+            return name
+        with ThreadPoolExecutor(at_a_time) as pool:
+            return list(pool.map(carried(spark, write), tables))

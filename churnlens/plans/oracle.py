@@ -453,8 +453,8 @@ ORACLE: dict[str, str] = {
     "hour_share_cancelled": _share("hour", "churn > 0"),
     "weekday_share_loyal": _share("weekday", "churn = 0"),
     "weekday_share_cancelled": _share("weekday", "churn > 0"),
-    "cancel_level": w() + f"""SELECT DISTINCT churn, level, COUNT(level) OVER (PARTITION BY churn, level) AS cnt
-        FROM cleaned WHERE page = {q(CANCEL_PAGE)}""",
+    "cancel_level": w() + f"""SELECT churn, level, COUNT(level) AS cnt
+        FROM cleaned WHERE page = {q(CANCEL_PAGE)} GROUP BY churn, level""",
     "lifetime_stats": rounded(w(LIFETIMES) + "SELECT churn, AVG(lifetime) AS avg, MIN(lifetime) AS min, MAX(lifetime) AS max FROM vals GROUP BY churn", ["avg"]),
     "session_durations": w(SESSIONS) + "SELECT * FROM vals",
     "lifetimes": w(LIFETIMES) + "SELECT * FROM vals",

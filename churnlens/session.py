@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 #: Settings every job relies on. Time parts are computed in UTC; AQE re-plans
@@ -137,6 +138,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             drop_path(spark, path)
 
 
+def carried(spark: SparkSession, f: Callable) -> Callable:
+    """``f`` of one argument, to be run by other threads with this one's job group, scheduler pool and
+    scratch tables."""
+    here, inside = copy_context(), inheritable_thread_target(spark)(f)
+    return lambda x: here.copy().run(inside, x)  # a context runs in one thread at a time
+
+
 def max_broadcast_bytes(spark: SparkSession) -> int:
     v = spark.conf.get(MAX_BROADCAST_BYTES_KEY, None)
     return int(v) if v else DEFAULT_MAX_BROADCAST_BYTES

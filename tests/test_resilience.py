@@ -4,18 +4,17 @@ import json
 import os
 import subprocess
 import sys
-import tempfile
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 
 
-def _run(fail: bool) -> dict:
-    out = tempfile.mktemp(suffix=".json", dir=tempfile.mkdtemp(prefix="churnlens-res-"))
+def _run(fail: bool, folder) -> dict:
+    out = str(folder / f"{fail}.json")
     subprocess.run([sys.executable, os.path.join(HERE, "resilience_run.py"), "1" if fail else "0", out],
                    check=True, timeout=900, capture_output=True)
     with open(out) as f:
         return json.load(f)
 
 
-def test_results_survive_task_retries():
-    assert _run(fail=True) == _run(fail=False)
+def test_results_survive_task_retries(tmp_path):
+    assert _run(True, tmp_path) == _run(False, tmp_path)

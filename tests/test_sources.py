@@ -1,5 +1,4 @@
 import json
-import os
 
 from churnlens.operators.clean import clean
 from churnlens.schema import EVENT_LOG
@@ -7,7 +6,7 @@ from churnlens.session import scratch_path
 from churnlens.sources import read_event_log, read_metrics, write_metrics
 
 
-def test_json_log_with_extra_and_missing_fields(spark):
+def test_json_log_with_extra_and_missing_fields(spark, tmp_path):
     lines = [
         {"userId": "30", "page": "NextSong", "level": "paid", "sessionId": 29, "ts": 1538352117000,
          "gender": "M", "itemInSession": 50, "length": 277.89, "auth": "Logged In",
@@ -17,12 +16,9 @@ def test_json_log_with_extra_and_missing_fields(spark):
         {"userId": "30", "page": "Cancellation Confirmation", "ts": 1538352119000, "sessionId": 29,
          "level": "paid", "gender": "M", "itemInSession": 51, "auth": "Cancelled"},
     ]
-    local = "/tmp/churnlens-test-json"
-    os.makedirs(local, exist_ok=True)
-    path = os.path.join(local, f"log-{os.getpid()}.json")
-    with open(path, "w") as f:
-        f.write("\n".join(json.dumps(x) for x in lines))
-    df = read_event_log(spark, path)
+    path = tmp_path / "log.json"
+    path.write_text("\n".join(json.dumps(x) for x in lines))
+    df = read_event_log(spark, f"file://{path}")
     assert df.schema == EVENT_LOG
     out = {(r.page, r.churn, r.userSystem) for r in clean(df).collect()}
     assert out == {("NextSong", 1, "Windows NT 6.1"), ("Cancellation Confirmation", 1, None)}

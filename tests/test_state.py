@@ -82,3 +82,13 @@ def test_merged_sketches_keep_their_rank_error(spark):
     off = found.withColumn("q50", F.col("q50") * 2)  # a wrong quantile shows
     assert Q.rank_errors(df, off, "v", ["g"]).filter("e50 > 0.05").count() == 3
     assert Q.rank_errors(df, Q.quantiles(Q.merge_sketches(parts)), "v").first()["e50"] <= Q.RANK_ERROR
+
+
+def test_describe_with_quartiles(spark):
+    from churnlens.operators.explore import describe_numeric
+
+    df = spark.range(1000).select(F.col("id").alias("a"), F.lit(2.0).alias("b"), F.lit(None).cast("long").alias("c"))
+    got = {r["column"]: r for r in describe_numeric(df, quartiles=True).collect()}
+    assert all(abs(got["a"][f"q{p}"] - 10 * p) <= 20 for p in (25, 50, 75)) and got["b"]["q50"] == 2.0
+    assert got["c"]["count"] == 0 and got["c"]["q25"] is None
+    assert describe_numeric(df).columns == ["column", "count", "mean", "stddev", "min", "max"]
