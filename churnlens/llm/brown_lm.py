@@ -38,18 +38,18 @@ results are replaced, all others stay, whatever their names.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from churnlens.llm.text import in_small_batches, lower_words, quoted
+from churnlens.llm.text import in_small_batches, quoted
 from churnlens.operators.joins import materialize
 from churnlens.session import scratch
 
@@ -71,8 +71,8 @@ SWEEPS = 3
 ADD = 0.5
 #: Weight, in tokens, of the classes' own frequencies in the transitions.
 BACKOFF = 10.0
-FLUSH = 200_000
 KEYS = 1 << 21  # neighbours that a task counts at once
+ROW = 1 << 18  # tokens in a row of item ids (a longer text makes a longer row)
 SEED = 42
 END = b""
 
@@ -85,21 +85,23 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different tokens of a batch of texts; of all tokens, text after text, which of them each is;
+    where each text starts. An end follows the words of every text."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    # cut at the space behind the last word, the empty word is left: the end
+    texts = pc.if_else(pc.equal(texts, ""), texts, pc.binary_join_element_wise(texts, "", " "))
+    lists = pc.ascii_split_whitespace(texts)
+    coded = lists.flatten().dictionary_encode()
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return coded.dictionary.cast(pa.binary()), coded.indices.to_numpy().astype(np.int64), np.cumsum(sizes) - sizes
 
-    def flush():
-        out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-                                         names=["word", "n"])
-        counts.clear()
-        return out
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for text in batch.column("text"):
-            counts.update(lower_words(text.as_py()))
-            counts[END] += 1
-            if len(counts) > FLUSH:
-                yield flush()
-    yield flush()
+        words, code, _ = _tokens(batch.column("text"))
+        yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(code, minlength=len(words)), pa.int64())],
+                                         names=["word", "n"])
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -136,23 +138,45 @@ def rare_items(words: list[bytes], rarer: np.ndarray, n_words: int) -> list[int]
             for w, i, hit in zip(words, at.tolist(), (rarer[at] == hashes).tolist())]
 
 
-def _item_ids(shared, n_words: int):
-    """Texts to item ids: every row a batch's texts, with an end before the first and after each."""
+@dataclass
+class Lookup:
+    """What the tasks know of words: the table's words with their items and log10 counts, the end
+    behind them (its score is added per text), and the hashes of the other items."""
+    place: dict[bytes, int]
+    item: np.ndarray
+    log: np.ndarray
+    rarer: np.ndarray
+    n_words: int
+
+    @classmethod
+    def of(cls, known: dict[bytes, tuple[int, int]], rarer: np.ndarray, n_words: int) -> Lookup:
+        place = {w: k for k, w in enumerate(known)}
+        place[END] = len(known)
+        item, count = np.array([*known.values(), (n_words + GROUPS, 1)], np.int64).T
+        return cls(place, item.astype(np.uint32), np.r_[np.log10(count[:-1] + ADD), 0.0], rarer, n_words)
+
+    def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Items and log10 counts (0 if not in the table) of different words, and which are not in it."""
+        words = words.to_numpy(zero_copy_only=False).tolist()
+        place = np.array([self.place.get(w, -1) for w in words], np.int64)
+        item, log = self.item[place], self.log[place]
+        rare = place < 0
+        at = np.flatnonzero(rare)
+        log[at] = 0.0
+        item[at] = rare_items([words[i] for i in at.tolist()], self.rarer, self.n_words)
+        return item, log, rare
+
+
+def _item_ids(shared):
+    """Texts to item ids: every row some texts', with an end before the first and after each."""
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (known, rarer), end = shared.value, n_words + GROUPS
+        lookup: Lookup = shared.value
+        end = np.array([lookup.n_words + GROUPS], np.uint32)
         for batch in batches:
-            out, parts = [end], []
-            for text in batch.column("text"):
-                w = lower_words(text.as_py())
-                rare = list({x for x in w if x not in known})
-                more = dict(zip(rare, rare_items(rare, rarer, n_words)))
-                out += [more[x] if (hit := known.get(x)) is None else hit[0] for x in w]
-                out.append(end)
-                if len(out) > 1 << 18:
-                    parts.append(np.array(out, np.uint32).tobytes())
-                    out = [end]
-            if len(out) > 1:
-                parts.append(np.array(out, np.uint32).tobytes())
+            words, code, starts = _tokens(batch.column("text"))
+            item = lookup.find(words)[0][code]
+            cuts = np.unique(np.r_[starts, len(item)][np.searchsorted(starts, np.arange(0, len(item) + ROW, ROW))])
+            parts = [np.concatenate([end, item[a:b]]).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["ids"])
     return ids
 
@@ -438,8 +462,8 @@ def fit(docs: DataFrame, text: str = "text", *, classes: int = CLASSES, sweeps:
     head = min(head, n_top)
     tops = np.r_[:head, n_words:len(class_of)]  # the items that move in turn, the end behind them
     with scratch(spark):
-        shared = spark.sparkContext.broadcast((table, rarer))
-        ids = materialize(texts.mapInArrow(_item_ids(shared, n_words), "ids binary"), "item-ids")
+        shared = spark.sparkContext.broadcast(Lookup.of(table, rarer, n_words))
+        ids = materialize(texts.mapInArrow(_item_ids(shared), "ids binary"), "item-ids")
         count = lambda c: _class_counts(ids, c, n_classes, head, n_words)
         counted = count(class_of)
         for sweep in range(sweeps):
@@ -473,33 +497,32 @@ def fit(docs: DataFrame, text: str = "text", *, classes: int = CLASSES, sweeps:
     return Model(vocabulary, tokens, types, table, known_from, rarer, class_of, transition, emitted)
 
 
-def _score(shared, n_words: int):
+def _sums(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
+
+
+def _score(shared):
     """Per text: tokens, the scores of all it can tell without the full vocabulary, and the rarer words."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, rarer, class_of, transition, emitted, base_total, end = shared.value
-        logs = {}
+        lookup, class_of, transition, emitted, base_total, end = shared.value
+        end_class = len(emitted) - 1  # the end is alone in its class
+        step = transition - np.r_[emitted[:-1], 0.0]
         for batch in batches:
-            rows, words, times, offsets = [], [], [], [0]  # the rare words of all texts behind each other
-            for text in batch.column("text"):
-                w = lower_words(text.as_py())
-                hits = list(map(table.get, w))
-                rare = Counter(x for x, h in zip(w, hits) if h is None)
-                words += rare
-                times += rare.values()
-                offsets.append(len(words))
-                more = dict(zip(rare, rare_items(list(rare), rarer, n_words)))
-                items = [more[x] if h is None else h[0] for x, h in zip(w, hits)]
-                cls = class_of[np.array([*items, len(class_of) - 1], np.int64)]
-                log_n = 0.0
-                for n in [h[1] for h in hits if h is not None]:
-                    if (v := logs.get(n)) is None:
-                        v = logs[n] = math.log10(n + ADD)
-                    log_n += v
-                model = float(transition[np.r_[len(emitted) - 1, cls[:-1]], cls].sum() - emitted[cls[:-1]].sum())
-                rows.append((len(w) + 1, len(w) - rare.total(), log_n + end - base_total * (len(w) + 1), log_n + model))
-            cols = list(zip(*rows)) or [(), (), (), ()]
+            words, code, starts = _tokens(batch.column("text"))
+            item, log, rare = lookup.find(words)
+            cls, size = class_of[item[code]], np.diff(np.r_[starts, len(code)])
+            # every text follows an end, as the one before it has one
+            model = _sums(step[np.r_[end_class, cls[:-1]], cls], starts)
+            log_n = _sums(log[code], starts)
+            # the rare words of all texts behind each other
+            of_text = np.repeat(np.arange(len(starts)), size)
+            at = np.flatnonzero(rare[code])
+            once, times = np.unique(of_text[at] * len(words) + code[at], return_counts=True)
+            offsets = np.searchsorted(once, np.arange(len(starts) + 1) * len(words))
+            known = size - 1 - np.bincount(of_text[at], minlength=len(starts))
+            cols = (size, known, log_n + end - base_total * size, log_n + model)
             types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            pairs = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int32())], ["word", "k"])
+            pairs = pa.StructArray.from_arrays([words.take(pa.array(once % max(1, len(words)))), pa.array(times, pa.int32())], ["word", "k"])
             kept = batch.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, t) for c, t in zip(cols, types)),
                                               pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)],
@@ -518,12 +541,13 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     end = math.log10((ends["n"] if ends else 0) + ADD)
     n_words = len(model.class_of) - 1 - GROUPS
     shared = docs.sparkSession.sparkContext.broadcast(
-        (model.known, model.rarer, model.class_of.astype(np.int16), model.transition, model.emitted, base_total, end))
+        (Lookup.of(model.known, model.rarer, n_words), model.class_of.astype(np.int16), model.transition, model.emitted,
+         base_total, end))
     named = docs.select(*[quoted(c).alias(i) for c, i in zip(kept, inside)], quoted(text).alias("text"))
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in named.drop("text").schema),
                         "n_tokens long, n_known long, base_score double, score double, "
                         "__rare array<struct<word:binary, k:int>>"])
-    part = materialize(named.mapInArrow(_score(shared, n_words), schema)
+    part = materialize(named.mapInArrow(_score(shared), schema)
                        .withColumn("__row", F.monotonically_increasing_id()), "scores")
     # words below the tasks' table: joined with their counts, summed per text
     rest = model.vocabulary.filter(F.col("n") < model.known_from)

@@ -5,6 +5,7 @@ from dataclasses import replace
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,15 @@ def _brute(rows, model):
     return out
 
 
+@pytest.mark.parametrize("texts", [
+    [], [None], ["", "   ", None], ["  A b\x0bC\t", None, "\u2003x\x85 y\x1cz\n", "q", "\u0130 I \x00 a", "a" * 9 + " \r\n" * 5]])
+def test_tokens_of_a_batch(texts):
+    words, code, starts = B._tokens(pa.array(texts, pa.string()))
+    want = [_tokens(t) for t in texts]
+    assert [words[i].as_py() for i in code] == sum(want, [])
+    assert starts.tolist() == [sum(map(len, want[:k])) for k in range(len(want))]
+
+
 @pytest.mark.parametrize("items,known", [(B.ITEMS, B.KNOWN), (100, 200)])
 def test_scores_equal_brute_force(make, items, known):
     rows = [doc(i, prose(i, 40)) for i in range(60)] + EDGES
