@@ -75,8 +75,21 @@ class Pieces:
             for n in range(1, len(p)):
                 self.table.setdefault(p[:n])
             self.table[p] = (i, s)
+        #: the same by characters: character -> (what follows or None, id or -1, score)
+        self.trie = self._trie({p: (i, s) for p, i, s in pieces})
         self.blocks = re.compile(self._cut([p for p, _, _ in pieces]), re.S)
 
+    @staticmethod
+    def _trie(pieces: dict[str, tuple[int, float]]) -> dict[str, tuple]:
+        following: dict[str, set[str]] = {}
+        for p in pieces:
+            for n in range(len(p)):
+                following.setdefault(p[:n], set()).add(p[n])
+
+        def below(prefix: str) -> dict[str, tuple] | None:  # as deep as the longest piece
+            return {c: (below(prefix + c), *pieces.get(prefix + c, (-1, 0.0))) for c in following[prefix]} if prefix in following else None
+        return below("") or {}
+
     @staticmethod
     def _cut(pieces: list[str]) -> str:
         """A pattern whose matches are the blocks of a text."""
@@ -131,31 +144,32 @@ class Pieces:
     def best(self, s: str) -> tuple[list[int], float, float]:
         """(ids, score, loss of the second best path) of a block: forward Viterbi that
         keeps the two best scores of every node."""
-        n, get = len(s), self.table.get
+        n, get, rest = len(s), self.trie.get, (None, -1, 0.0)
         first, second = [-math.inf] * (n + 1), [-math.inf] * (n + 1)
         back: list[tuple[int, int, int]] = [(0, 0, 0)] * (n + 1)
         first[0] = 0.0
         for i in range(n):
             here, other, j = first[i], second[i], i + 1
-            hit = get(s[i:j], 0)
-            if not hit:
+            node, piece, score = get(s[i], rest)
+            if piece < 0:  # as bytes
                 v, w = here + self.unknown, other + self.unknown
                 if v > first[j]:
                     second[j], first[j], back[j] = max(first[j], w), v, (i, j, -1)
                 elif v > second[j]:
                     second[j] = v
-            while hit != 0:
-                if hit:
-                    v, w = here + hit[1], other + hit[1]
+            while True:
+                if piece >= 0:
+                    v = here + score
                     if v > first[j]:
+                        w = other + score
                         second[j] = w if w > first[j] else first[j]
-                        first[j], back[j] = v, (i, j, hit[0])
+                        first[j], back[j] = v, (i, j, piece)
                     elif v > second[j]:
                         second[j] = v
-                j += 1
-                if j > n:
+                if node is None or j == n or (step := node.get(s[j])) is None:
                     break
-                hit = get(s[i:j], 0)
+                node, piece, score = step
+                j += 1
         path, j = [], n
         while j:
             path.append(back[j])
